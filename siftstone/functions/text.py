@@ -52,8 +52,9 @@ def keyword_pattern(word: str) -> str:
 
 
 def keywords(line: Column, words: tuple[str, ...]) -> Column:
-    """The words, in list order, that stand in the line."""
-    return F.array_compact(F.array(*[F.when(F.contains(line, F.lit(w)) & F.regexp_like(line, F.lit(keyword_pattern(w))), F.lit(w)) for w in words]))
+    """The words, in list order, that stand in the line: one filter over a constant list, so that plans stay small."""
+    table = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(keyword_pattern(w)).alias("p")) for w in words])
+    return F.transform(F.filter(table, lambda k: F.contains(line, k["w"]) & F.regexp_like(line, k["p"])), lambda k: k["w"])
 
 
 def digits(text: Column) -> Column:
