@@ -66,11 +66,18 @@ def text_col(name: str = "text") -> Column:
 
 
 class Recent(dict):
-    """What `make` gives for a key, kept for the keys met lately (at most twice `size` of them)."""
+    """What `make` gives for a key, kept for the keys met lately (at most twice `size` of them).
 
-    def __init__(self, make: Callable, size: int = 400_000, longest: int = 48):
+    A Python worker outlives a stage and may serve several operators; `work_for` frees what the others
+    had kept, so a worker's memory is that of one operator.
+    """
+
+    _all: list[Recent] = []
+
+    def __init__(self, make: Callable, owner: str, size: int = 200_000, longest: int = 48):
         super().__init__()
-        self.make, self.size, self.longest, self.old = make, size, longest, {}
+        self.make, self.owner, self.size, self.longest, self.old = make, owner, size, longest, {}
+        Recent._all.append(self)
 
     def __missing__(self, key):
         found = self.old.get(key)
@@ -82,3 +89,10 @@ class Recent(dict):
                 self.clear()
             self[key] = found
         return found
+
+    @staticmethod
+    def work_for(owner: str) -> None:
+        for r in Recent._all:
+            if r.owner != owner and (r or r.old):
+                r.clear()
+                r.old = {}

@@ -52,8 +52,8 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parts = Recent(self._ids, 300_000)
-        self.cores = Recent(self._core, 300_000)
+        self.parts = Recent(self._ids, "packing", 120_000)
+        self.cores = Recent(self._core, "packing", 150_000)
 
     def _core(self, word: str) -> bytes:
         """A lower-case word of Latin letters: one unit of the splitting, unchanged by normalization."""
@@ -76,6 +76,7 @@ _LOADED: dict[str, Words] = {}
 
 
 def load(path: str) -> Words:
+    Recent.work_for("packing")
     if path not in _LOADED:
         _LOADED[path] = Words(path)
     return _LOADED[path]

@@ -67,7 +67,7 @@ class Pieces:
         joins = any(MARK in x.lstrip(MARK) for x in self.rank)
         self.parts = None if joins else re.compile(f"{MARK}+[^{MARK}]*")
         self.comma = [b"%d," % i for i in range(len(self.text))]
-        self.words = Recent(self._word)
+        self.words = Recent(self._word, "pieces")
 
     def _merge(self, text: str) -> list[int] | None:
         """The definition itself, for short texts: join the best-scored pair, leftmost first."""
@@ -199,6 +199,7 @@ _LOADED: dict[str, Pieces] = {}
 
 def load(path: str) -> Pieces:
     """The model of a file, once a process."""
+    Recent.work_for("pieces")
     if path not in _LOADED:
         _LOADED[path] = Pieces(path)
     return _LOADED[path]

@@ -53,10 +53,14 @@ _TERMS: dict = {}
 def _counts(text: str, known: dict[str, int] | None, prefixes: tuple[int, ...], key: object = None) -> dict:
     """Terms of a whole text with their numbers; known: only those, by their index."""
     if key not in _TERMS:
+        for old in _TERMS.values():
+            Recent._all.remove(old)
         _TERMS.clear()
-        _TERMS[key] = Recent(
-            (lambda t: _terms_of(t, prefixes)) if known is None else lambda t: tuple(known[x] for x in _terms_of(t, prefixes) if x in known), 200_000
-        )
+        if known is None:  # all terms of a few documents
+            _TERMS[key] = Recent(lambda t: _terms_of(t, prefixes), "toxicity", 20_000)
+        else:
+            _TERMS[key] = Recent(lambda t: tuple(known[x] for x in _terms_of(t, prefixes) if x in known), "toxicity", 150_000)
+        Recent.work_for("toxicity")
     terms, out = _TERMS[key], {}
     for token, n in Counter(text.split()).items():
         for x in terms[token]:
