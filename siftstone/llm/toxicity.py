@@ -53,8 +53,7 @@ _TERMS: dict = {}
 def _counts(text: str, known: dict[str, int] | None, prefixes: tuple[int, ...], key: object = None) -> dict:
     """Terms of a whole text with their numbers; known: only those, by their index."""
     if key not in _TERMS:
-        for old in _TERMS.values():
-            Recent._all.remove(old)
+        Recent._all[:] = [r for r in Recent._all if r.owner != "toxicity"]
         _TERMS.clear()
         if known is None:  # all terms of a few documents
             _TERMS[key] = Recent(lambda t: _terms_of(t, prefixes), "toxicity", 20_000)
