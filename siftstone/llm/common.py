@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH = 2000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,10 +42,18 @@ def partitions(spark: SparkSession, least: int = 16) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema) -> DataFrame:
-    """mapInArrow with a function of one batch; batches without rows are passed over."""
+def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema, owner: str = "") -> DataFrame:
+    """mapInArrow with a function of one batch; batches without rows are passed over.
+
+    owner: whose word caches f uses; a worker frees all others first. Where the session has Spark's default
+    batch of 10,000 rows, it is lowered: whole documents would make such batches too large for a worker.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(BATCH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Recent.work_for(owner)
         for b in batches:
             if b.num_rows:
                 out = f(b)
@@ -92,7 +102,9 @@ class Recent(dict):
 
     @staticmethod
     def work_for(owner: str) -> None:
-        for r in Recent._all:
-            if r.owner != owner and (r or r.old):
-                r.clear()
-                r.old = {}
+        others = [r for r in Recent._all if r.owner != owner and (r or r.old)]
+        for r in others:
+            r.clear()
+            r.old = {}
+        if others:
+            pa.default_memory_pool().release_unused()

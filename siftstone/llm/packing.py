@@ -76,7 +76,6 @@ _LOADED: dict[str, Words] = {}
 
 
 def load(path: str) -> Words:
-    Recent.work_for("packing")
     if path not in _LOADED:
         _LOADED[path] = Words(path)
     return _LOADED[path]
@@ -102,7 +101,7 @@ def pieces(docs: DataFrame, path: str, size: int = 4096, end: int = END, keep_id
         return pa.table(made)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return by_batch(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), one, schema)
+    return by_batch(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), one, schema, "packing")
 
 
 def plan(histogram: dict[int, int], capacity: Capacity) -> list[tuple[int, int, int, int, int]]:

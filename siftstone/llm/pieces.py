@@ -199,7 +199,6 @@ _LOADED: dict[str, Pieces] = {}
 
 def load(path: str) -> Pieces:
     """The model of a file, once a process."""
-    Recent.work_for("pieces")
     if path not in _LOADED:
         _LOADED[path] = Pieces(path)
     return _LOADED[path]
@@ -212,7 +211,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         p = load(path)
         return pa.table({"doc_id": b.column(0), "ids": pa.array([p.encode(x) for x in plain_texts(b.column(1))], pa.list_(pa.int32()))})
 
-    return by_batch(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), one, "doc_id long, ids array<int>")
+    return by_batch(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), one, "doc_id long, ids array<int>", "pieces")
 
 
 def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -222,7 +221,7 @@ def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "id
         p = load(path)
         return pa.table({"doc_id": b.column(0), "text": pa.array([p.decode(x or []) for x in b.column(1).to_pylist()], pa.string())})
 
-    return by_batch(encoded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).alias("ids")), one, "doc_id long, text string")
+    return by_batch(encoded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).alias("ids")), one, "doc_id long, text string", "pieces")
 
 
 def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,5 +238,5 @@ def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
 
     return by_batch(
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), one,
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "pieces",
     )

@@ -59,7 +59,6 @@ def _counts(text: str, known: dict[str, int] | None, prefixes: tuple[int, ...],
             _TERMS[key] = Recent(lambda t: _terms_of(t, prefixes), "toxicity", 20_000)
         else:
             _TERMS[key] = Recent(lambda t: tuple(known[x] for x in _terms_of(t, prefixes) if x in known), "toxicity", 150_000)
-        Recent.work_for("toxicity")
     terms, out = _TERMS[key], {}
     for token, n in Counter(text.split()).items():
         for x in terms[token]:
@@ -176,7 +175,7 @@ def _features(docs: DataFrame, known: dict[str, int], settings: Settings) -> Dat
             }
         )
 
-    return by_batch(docs, one, "doc_id long, terms array<int>, counts array<int>")
+    return by_batch(docs, one, "doc_id long, terms array<int>, counts array<int>", "toxicity")
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"):
@@ -202,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings, doc_id: str = "d
         return pa.table({"term": [t for t, _ in total], "y": pa.array([y for _, y in total], pa.int32()), "n": pa.array(total.values(), pa.int64())})
 
     seen = durable(
-        by_batch(sample, terms, "term string, y int, n long")
+        by_batch(sample, terms, "term string, y int, n long", "toxicity")
         .groupBy("term")
         .agg(F.sum("n").alias("df"), F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("hit"))
     )
@@ -280,7 +279,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
             keep.append(m.score(raw) < settings.threshold)
         return b.filter(pa.array(keep))
 
-    return by_batch(docs, clean, docs.schema)
+    return by_batch(docs, clean, docs.schema, "toxicity")
 
 
 def held_out(doc_id: str = "doc_id"):
