@@ -214,6 +214,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     spark = docs.sparkSession
     buckets = partitions(spark, 32)
     t = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (F.col(carry) if carry else F.lit(None).cast("string")).alias("carried"))
+    t = t.withColumn("h", F.xxhash64("text"))  # tells rows of one doc_id apart
 
     def hashed(b: pa.RecordBatch) -> pa.Table:
         found = [np.unique(anchors(x, s)[0]) for x in raw_texts(b.column(1))]
@@ -226,14 +227,14 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         for k, a, e in zip(*_groups(bucket), strict=True):
             own = np.flatnonzero(np.r_[True, d[a + 1 : e] != d[a : e - 1]])
             rows[0].append(int(k))
-            rows[1].append(d[a:e][own].tobytes())
-            rows[2].append(np.diff(np.append(own, e - a)).astype(np.int32).tobytes())
+            rows[1].append(_small(d[a:e][own]))
+            rows[2].append(_small(np.diff(np.append(own, e - a)).astype(np.int32)))
             rows[3].append(h[a:e].tobytes())
         return pa.table({"bucket": pa.array(rows[0], pa.int32()), "docs": pa.array(rows[1], pa.binary()), "counts": pa.array(rows[2], pa.binary()), "hashes": pa.array(rows[3], pa.binary())})
 
     def shared(table: pa.Table) -> pa.Table:
         docs_, counts, hashes = (table.column(c).to_pylist() for c in ("docs", "counts", "hashes"))
-        d = np.concatenate([np.repeat(np.frombuffer(x, np.int64), np.frombuffer(c, np.int32)) for x, c in zip(docs_, counts, strict=True)])
+        d = np.concatenate([np.repeat(_large(x, np.int64), _large(c, np.int32)) for x, c in zip(docs_, counts, strict=True)])
         h = np.concatenate([np.frombuffer(x, np.uint32) for x in hashes])
         order = np.argsort(h)
         h, d = h[order], d[order]
@@ -254,19 +255,17 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
 
     def zipped(b: pa.RecordBatch) -> pa.Table:
         z = zstandard.ZstdCompressor(level=1)
-        return pa.table({"doc_id": b.column(0), "z": pa.array([z.compress(x) for x in raw_texts(b.column(1))], pa.binary()), "carried": b.column(2)})
+        made = {"doc_id": b.column(0), "h": b.column(1), "z": pa.array([z.compress(x) for x in raw_texts(b.column(2))], pa.binary())}
+        return pa.table(made | ({"carried": b.column(3)} if b.num_columns > 3 else {}))
 
     def contexts(b: pa.RecordBatch) -> pa.Table:
         unzip = zstandard.ZstdDecompressor()
         least: dict[bytes, int] = {}
         met: list[tuple[int, int, int, int, bytes, int]] = []
-        texts = b.column(1).to_pylist()
-        sizes, local = [], [[] for _ in texts]
-        for row, (doc, z, some, hot) in enumerate(zip(b.column(0).to_pylist(), texts, b.column(2), b.column(3), strict=True)):
+        ids, prints = b.column(0).to_pylist(), b.column(1).to_pylist()
+        local: list[list] = [[] for _ in ids]
+        for row, (doc, z, some, hot) in enumerate(zip(ids, b.column(2).to_pylist(), b.column(3), b.column(4), strict=True)):
             x = unzip.decompress(z)
-            sizes.append(len(x))
-            if doc is None or not some.is_valid or not len(some.values):
-                continue
             h, first, end = anchors(x, s)
             low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             crowded = np.isin(low, hot.values.to_numpy()) if len(hot.values) else np.zeros(len(h), bool)
@@ -277,39 +276,37 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
                     least[c] = doc
                 met.append((row, doc, a, e - a, c, -1 if crowded[i] else key))
         sent: dict[int, list[list]] = {}
-        done: set[bytes] = set()
+        seen: dict[bytes, tuple[int, int]] = {}
+        twins: dict[int, list[tuple[int, int, int]]] = {}
         for row, doc, a, n, c, key in met:
             if doc > least[c]:
                 local[row].append((a, a + n - 1 + s.length))
-            elif c not in done:  # a document's own repeats are looked up once; see `again` below
-                done.add(c)
+            elif c in seen and seen[c][0] == row:  # a document's own repeats are looked up once and share the answer
+                twins.setdefault(row, []).append((seen[c][1], a, len(c)))
+            else:
+                seen[c] = row, a
                 for k, part, at, m in _cut(c, a, n, key, s.length):
-                    box = sent.setdefault(k % buckets, [[], [], [], [], [], []])
-                    for column, v in zip(box, (k - (1 << 64) * (k >> 63), len(part), m, doc, at, part), strict=True):
+                    box = sent.setdefault((k >> 32) % buckets, [[], [], [], [], [], []])
+                    for column, v in zip(box, (k & 0xFFFFFFFF, m, doc, prints[row], at, part), strict=True):
                         column.append(v)
-        again: dict[bytes, list[tuple[int, int]]] = {}
-        for row, doc, a, n, c, key in met:
-            if doc == least[c]:
-                again.setdefault(c, []).append((row, a))
-        rows = [{"bucket": k, "keys": np.array(v[0], np.int64).tobytes(), "sizes": np.array(v[1], np.int32).tobytes(), "counts": np.array(v[2], np.int32).tobytes(),
-                 "docs": np.array(v[3], np.int64).tobytes(), "at": np.array(v[4], np.int64).tobytes(), "bytes": b"".join(v[5])} for k, v in sent.items()]
-        twins = [{"doc_id": b.column(0)[spots[0][0]].as_py(), "twin_from": spots[0][1], "twin_to": a, "twin_size": len(c)} for c, spots in again.items() if len(spots) > 1 for _, a in spots[1:]]
+        rows = [{"kind": 1, "bucket": k, "keys": _small(np.array(v[0], np.uint32)), "counts": _small(np.array(v[1], np.int16)), "docs": _small(np.array(v[2], np.int64)),
+                 "prints": _small(np.array(v[3], np.int64)), "at": _small(np.array(v[4], np.int64)), "bytes": zstandard.compress(b"".join(v[5]), 1)} for k, v in sent.items()]
+        for row in range(len(ids)):
+            if local[row] or row in twins:
+                rows.append({"kind": 0, "doc_id": ids[row], "h": prints[row], "local": _small(np.array(_join(local[row]), np.int64)), "twins": _small(np.array(twins.get(row, []), np.int64))})
         kind = pa.schema([(n, getattr(pa, k)()) for n, k in _MIXED])
-        out = {n: [None] * len(texts) + [r.get(n) for r in rows] + [r.get(n) for r in twins] for n, _ in _MIXED}
-        out["kind"] = [0] * len(texts) + [1] * len(rows) + [2] * len(twins)
-        out["doc_id"][: len(texts)] = b.column(0).to_pylist()
-        out["z"][: len(texts)], out["n_bytes"][: len(texts)] = texts, sizes
-        out["carried"][: len(texts)] = b.column(4).to_pylist()
-        out["local"][: len(texts)] = [np.array(_join(x), np.int64).tobytes() if x else None for x in local]
-        return pa.table(out, schema=kind)
+        return pa.table({n: [r.get(n) for r in rows] for n, _ in _MIXED}, schema=kind)
 
-    joined = by_batch(t, zipped, "doc_id long, z binary, carried string").join(lists, "doc_id", "left")
-    mixed = durable(by_batch(joined.select("doc_id", "z", "shared", "hot", "carried"), contexts, ", ".join(f"{n} {_SQL[k]}" for n, k in _MIXED)))
+    wanted = t.filter("doc_id IS NOT NULL").select("doc_id", "h", "text")
+    joined = by_batch(wanted, zipped, "doc_id long, h long, z binary").join(lists.filter(F.size("shared") > 0), "doc_id")
+    mixed = durable(by_batch(joined.select("doc_id", "h", "z", "shared", "hot"), contexts, ", ".join(f"{n} {_SQL[k]}" for n, k in _MIXED)))
 
     def compared(table: pa.Table) -> pa.Table:
-        keys, sizes, counts, docs_, at = (np.concatenate([np.frombuffer(x, d) for x in table.column(c).to_pylist()]) for c, d in (("keys", np.int64), ("sizes", np.int32), ("counts", np.int32), ("docs", np.int64), ("at", np.int64)))
-        whole = b"".join(table.column("bytes").to_pylist())
-        ends = np.cumsum(sizes, dtype=np.int64)
+        keys, counts, docs_, prints, at = (np.concatenate([_large(x, d) for x in table.column(c).to_pylist()]) for c, d in (("keys", np.uint32), ("counts", np.int16), ("docs", np.int64), ("prints", np.int64), ("at", np.int64)))
+        counts = counts.astype(np.int64)
+        whole = b"".join(zstandard.decompress(x) for x in table.column("bytes").to_pylist())
+        sizes = counts - 1 + s.length
+        ends = np.cumsum(sizes)
         parts = [whole[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
         owner: dict[bytes, int] = {}
         for i, (c, d) in enumerate(zip(parts, docs_.tolist(), strict=True)):
@@ -318,46 +315,67 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
                 owner[c] = i
         of = np.array([owner[c] for c in parts], np.int64)
         gone = docs_ > docs_[of]  # an equal context stands in a smaller document
-        out = [(docs_[gone], at[gone], at[gone] + counts[gone] - 1 + s.length)]
+        out = [(np.flatnonzero(gone), at[gone], at[gone] + sizes[gone])]
         left = np.array(sorted(owner.values()), np.int64)
         _, of_key, number = np.unique(keys[left], return_inverse=True, return_counts=True)
         left = left[number[of_key] > 1]  # anchors with different contexts
         left = left[np.argsort(keys[left], kind="stable")]
+        # all documents that hold the least one's context exactly are settled by the above; the rest share its strings' answers
         rows: list[tuple[int, int, int]] = []
+        twin_of: dict[int, list[int]] = {}
+        for i in np.flatnonzero(~gone & (of != np.arange(len(of)))).tolist():
+            twin_of.setdefault(int(of[i]), []).append(i)
         for i, flags in repeats([parts[i] for i in left.tolist()], counts[left], docs_[left], s) if len(left) else []:
-            rows += [(int(docs_[left[i]]), int(at[left[i]]) + a, int(at[left[i]]) + e - 1 + s.length) for a, e in _runs(flags)]
+            for k in (int(left[i]), *twin_of.get(int(left[i]), ())):  # rows of one doc_id
+                rows += [(k, int(at[k]) + a, int(at[k]) + e - 1 + s.length) for a, e in _runs(flags)]
         if rows:
             out.append(tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)))
-        return pa.table({n: np.concatenate([o[k] for o in out]) for k, n in enumerate(("doc_id", "a", "e"))})
-
-    boxes = mixed.filter("kind = 1").select("bucket", "keys", "sizes", "counts", "docs", "at", "bytes")
-    gone = boxes.groupBy("bucket").applyInArrow(compared, "doc_id long, a long, e long").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("a", "e"))).alias("gone"))
-    twins = mixed.filter("kind = 2").groupBy("doc_id").agg(F.collect_list(F.struct("twin_from", "twin_to", "twin_size")).alias("twins"))
-    ready = mixed.filter("kind = 0").select("doc_id", "n_bytes", "z", "local", "carried").join(gone, "doc_id", "left").join(twins, "doc_id", "left")
+        who, a, e = (np.concatenate([o[k] for o in out]) for k in range(3))
+        order = np.lexsort((a, prints[who], docs_[who]))
+        who, a, e = who[order], a[order], e[order]
+        first = np.flatnonzero(np.r_[True, (docs_[who][1:] != docs_[who][:-1]) | (prints[who][1:] != prints[who][:-1])]) if len(who) else np.zeros(0, np.int64)
+        edges = pa.array(np.r_[first, len(who)].astype(np.int32))
+        return pa.table({"doc_id": docs_[who[first]], "h": prints[who[first]], "a": pa.ListArray.from_arrays(edges, pa.array(a)), "e": pa.ListArray.from_arrays(edges, pa.array(e))})
+
+    boxes = mixed.filter("kind = 1").select("bucket", "keys", "counts", "docs", "prints", "at", "bytes")
+    far = boxes.groupBy("bucket").applyInArrow(compared, "doc_id long, h long, a array<long>, e array<long>")
+    runs = far.select("doc_id", "h", "a", "e", F.lit(None).cast("binary").alias("local"), F.lit(None).cast("binary").alias("twins")).unionByName(
+        mixed.filter("kind = 0").select("doc_id", "h", F.lit(None).cast("array<long>").alias("a"), F.lit(None).cast("array<long>").alias("e"), "local", "twins")
+    )
+    per_row = runs.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("a")).alias("a"), F.flatten(F.collect_list("e")).alias("e"), F.collect_list("local").alias("local"), F.collect_list("twins").alias("twins"))
+    final = by_batch(t.select("doc_id", "h", "text", "carried"), zipped, "doc_id long, h long, z binary, carried string").join(per_row, ["doc_id", "h"], "left")
 
     def joined_runs(b: pa.RecordBatch) -> pa.Table:
-        starts, ends = [], []
-        for local, far, twin in zip(b.column(3).to_pylist(), b.column(4), b.column(5), strict=True):
-            runs = [tuple(x) for x in np.frombuffer(local, np.int64).reshape(-1, 2).tolist()] if local else []
-            if far.is_valid:
-                v = far.values
-                mine = list(zip(v.field(0).to_pylist(), v.field(1).to_pylist(), strict=True))
-                runs += mine
-                for x in twin.as_py() or []:
-                    shift, lo, hi = x["twin_to"] - x["twin_from"], x["twin_from"], x["twin_from"] + x["twin_size"]
+        starts, ends, sizes = [], [], []
+        for z, a, e, local, twins in zip(b.column(1).to_pylist(), b.column(3), b.column(4), b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True):
+            sizes.append(len(zstandard.decompress(z)))
+            mine = list(zip(a.values.to_pylist(), e.values.to_pylist(), strict=True)) if a.is_valid else []
+            found = list(mine)
+            for x in local or []:
+                found += [tuple(r) for r in _large(x, np.int64).reshape(-1, 2).tolist()]
+            for x in twins or []:
+                for lo, to, size in _large(x, np.int64).reshape(-1, 3).tolist():
                     # only runs of strings of this context move with it
-                    runs += [(max(a, lo) + shift, min(e, hi) + shift) for a, e in mine if min(e, hi) - max(a, lo) >= s.length]
-            runs = _join(runs)
-            starts.append([a for a, _ in runs])
-            ends.append([e for _, e in runs])
+                    found += [(max(p, lo) + to - lo, min(q, lo + size) + to - lo) for p, q in mine if min(q, lo + size) - max(p, lo) >= s.length]
+            found = _join(found)
+            starts.append([p for p, _ in found])
+            ends.append([q for _, q in found])
         kind = pa.list_(pa.int64())
-        return pa.table({"doc_id": b.column(0), "n_bytes": b.column(1), "starts": pa.array(starts, kind), "ends": pa.array(ends, kind), "z": b.column(2), "carried": b.column(6)})
+        return pa.table({"doc_id": b.column(0), "n_bytes": pa.array(sizes, pa.int64()), "starts": pa.array(starts, kind), "ends": pa.array(ends, kind), "z": b.column(1), "carried": b.column(2)})
+
+    return by_batch(final.select("doc_id", "z", "carried", "a", "e", "local", "twins"), joined_runs, "doc_id long, n_bytes long, starts array<long>, ends array<long>, z binary, carried string")
+
+
+def _small(x: np.ndarray) -> bytes:
+    return zstandard.compress(x.tobytes(), 1)
+
 
-    return by_batch(ready.select("doc_id", "n_bytes", "z", "local", "gone", "twins", "carried"), joined_runs, "doc_id long, n_bytes long, starts array<long>, ends array<long>, z binary, carried string")
+def _large(x: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(x), kind)
 
 
-_MIXED = [("kind", "int32"), ("doc_id", "int64"), ("n_bytes", "int64"), ("z", "binary"), ("carried", "string"), ("local", "binary"), ("bucket", "int32"), ("keys", "binary"), ("sizes", "binary"),
-          ("counts", "binary"), ("docs", "binary"), ("at", "binary"), ("bytes", "binary"), ("twin_from", "int64"), ("twin_to", "int64"), ("twin_size", "int64")]
+_MIXED = [("kind", "int32"), ("doc_id", "int64"), ("h", "int64"), ("local", "binary"), ("twins", "binary"), ("bucket", "int32"), ("keys", "binary"),
+          ("counts", "binary"), ("docs", "binary"), ("prints", "binary"), ("at", "binary"), ("bytes", "binary")]
 _SQL = {"int32": "int", "int64": "long", "binary": "binary", "string": "string"}
 
 
