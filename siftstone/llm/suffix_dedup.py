@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import by_batch, durable, partitions, raw_texts
+from siftstone.llm.common import by_batch, durable, partitions, raw_texts, trim
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PLACE = np.uint64(22)  # bits of a place within a step of `_STEP` positions
@@ -245,6 +245,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         some = _split_counts(d[size > 1], h[size > 1], "shared")
         hot = _split_counts(d[many], h[many], "hot")
         kind = pa.list_(pa.int32())
+        trim()
         return pa.concat_tables(
             [some.append_column("hot", pa.nulls(len(some), kind)), pa.table({"doc_id": hot.column(0), "shared": pa.nulls(len(hot), kind), "hot": hot.column(1)})]
         ).cast(pa.schema([("doc_id", pa.int64()), ("shared", kind), ("hot", kind)]))
@@ -335,6 +336,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         who, a, e = who[order], a[order], e[order]
         first = np.flatnonzero(np.r_[True, (docs_[who][1:] != docs_[who][:-1]) | (prints[who][1:] != prints[who][:-1])]) if len(who) else np.zeros(0, np.int64)
         edges = pa.array(np.r_[first, len(who)].astype(np.int32))
+        trim()
         return pa.table({"doc_id": docs_[who[first]], "h": prints[who[first]], "a": pa.ListArray.from_arrays(edges, pa.array(a)), "e": pa.ListArray.from_arrays(edges, pa.array(e))})
 
     boxes = mixed.filter("kind = 1").select("bucket", "keys", "counts", "docs", "prints", "at", "bytes")
