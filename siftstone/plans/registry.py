@@ -232,8 +232,8 @@ _add("p14_phash", lambda s, d: hashes(s, d).select("vec_id", H.unsigned(F.col("p
 _add(
     "j7_library_match",
     lambda s, d: H.match_library(hashes(s, d), planted_library(hashes(s, d)), "vec_id"),
-    f"WITH {_BITS}, lib AS (SELECT DISTINCT xor(u::UHUGEINT, CASE vec_id % 30 WHEN 10 THEN 1 WHEN 20 THEN 3 ELSE 0 END::UHUGEINT) AS l FROM hh WHERE vec_id % 10 = 0) "
-    "SELECT vec_id, 1 - min(bit_count(xor(u::UHUGEINT, l))) / 64.0::DOUBLE AS library_similarity FROM hh, lib WHERE bit_count(xor(u::UHUGEINT, l)) <= 1 GROUP BY vec_id",
+    f"WITH {_BITS}, lib AS (SELECT DISTINCT xor(u::HUGEINT, CASE vec_id % 30 WHEN 10 THEN 1 WHEN 20 THEN 3 ELSE 0 END::HUGEINT) AS l FROM hh WHERE vec_id % 10 = 0) "
+    "SELECT vec_id, 1 - min(bit_count(xor(u::HUGEINT, l))) / 64.0::DOUBLE AS library_similarity FROM hh, lib WHERE bit_count(xor(u::HUGEINT, l)) <= 1 GROUP BY vec_id",
 )
 
 # ---- logs, sets, samples
