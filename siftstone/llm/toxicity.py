@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import Recent, by_batch, durable, plain_texts
+from siftstone.llm.common import Recent, by_batch, durable, plain_texts, trim
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -78,12 +78,12 @@ class Index:
         self.labels = labels[order].astype(float)
         self.empty = np.array([len(weights[i]) == 0 for i in order], bool)
         self.blocks = -(-max(len(order), 1) // block)
-        posts: list[list[tuple[int, float]]] = [[] for _ in idf]
-        for place, i in enumerate(order):
-            for t, w in zip(vectors[i][0], weights[i], strict=True):
-                posts[t].append((place, w))
-        self.at = [np.array([p for p, _ in x], np.int64) for x in posts]
-        self.weight = [np.array([w for _, w in x], float) for x in posts]
+        sizes = [len(weights[i]) for i in order]
+        terms = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
+        by_term = np.argsort(terms, kind="stable")  # places stay in order within a term
+        bounds = np.searchsorted(terms[by_term], np.arange(1, len(idf)))
+        self.at = np.split(np.repeat(np.arange(len(order)), sizes)[by_term], bounds)
+        self.weight = np.split(np.concatenate([np.zeros(0), *(weights[i] for i in order)])[by_term], bounds)
         self.cut = [np.searchsorted(a, np.arange(self.blocks + 1) * block) for a in self.at]
         self.most = np.zeros((len(idf), self.blocks))
         for t, (a, w) in enumerate(zip(self.at, self.weight, strict=True)):
@@ -220,12 +220,17 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings, doc_id: str = "d
     for r in counts:
         df[r["t"]] = r["n"]
     idf = np.log((1 + n_docs) / (1 + df)) + 1
-    rows = sorted(features.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])  # bounded as chosen
-    vectors = [(np.array(r["terms"], np.int64), np.array(r["counts"], float)) for r in rows]
-    index = Index(vectors, np.array([r["y"] for r in rows]), idf, settings.block)
+    examples = features.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "y")).alias("x"))
+    rows = examples.select("doc_id", "x.*").toArrow().sort_by("doc_id").combine_chunks()  # bounded as chosen; columns, since Python objects would take the driver far more memory
+    terms_of, counts_of = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
+    at, flat, number = (x.to_numpy() for x in (terms_of.offsets, terms_of.values, counts_of.values))
+    vectors = [(flat[i:j].astype(np.int64), number[i:j].astype(float)) for i, j in zip(at, at[1:], strict=False)]
+    index = Index(vectors, rows.column("y").to_numpy(), idf, settings.block)
     model = Model(known, index, settings)
     model.calibrate(vectors)
-    ids = np.array([r["doc_id"] for r in rows])[index.source]
+    ids = rows.column("doc_id").to_numpy()[index.source]
+    del rows, vectors, terms_of, counts_of, flat, number
+    trim()
     return model, ids, known, features
 
 
