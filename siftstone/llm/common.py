@@ -33,6 +33,13 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of tables that nothing reads any more, by the file system that holds it."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Rows of df, computed once and kept in the shared folder."""
     shared_folder(df.sparkSession)
