@@ -38,7 +38,7 @@ class Settings:
     length: int = 50
     gram: int = 20
     crowd: int = 5000
-    array: int = 1 << 22
+    array: int = 1 << 21
 
 
 def _words(a: np.ndarray) -> np.ndarray:
@@ -309,6 +309,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         sizes = counts - 1 + s.length
         ends = np.cumsum(sizes)
         parts = [whole[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+        del whole, ends
         owner: dict[bytes, int] = {}
         for i, (c, d) in enumerate(zip(parts, docs_.tolist(), strict=True)):
             j = owner.setdefault(c, i)
