@@ -155,3 +155,37 @@ def test_secrets(spark):
     docs = spark.createDataFrame(rows, DOCS)
     out = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
     assert out[1] == 'x token = "[SECRET]" y [SECRET].' and out[2] == rows[1][1] and out[3] is None
+
+
+def test_near_copies_by_brute_force(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    notice = [rng.choice(words) for _ in range(30)]
+    texts = []
+    for _ in range(40):
+        base = [rng.choice(words) for _ in range(rng.randint(3, 150))] + (notice if rng.random() < 0.5 else [])
+        for _ in range(rng.randint(1, 5)):
+            copy = list(base)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(" ".join(copy))
+    rows = [(i, x) for i, x in enumerate(texts + [None, "", " ", "One  two", "one two"])]
+    rng.shuffle(rows)
+
+    def shingled(x):
+        w = (x or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {i: shingled(x) for i, x in rows}
+    root = {i: i for i in sets}
+    find = lambda i: i if root[i] == i else find(root[i])
+    for a in sets:
+        for b in sets:
+            if a < b and (not (sets[a] or sets[b]) or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    docs = spark.createDataFrame([*rows, (None, texts[0])], "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, "").collect() if r.doc_id is not None)
+    assert got == sorted(i for i in sets if find(i) == i) and len(got) < len(rows) - 20
+    assert corpus_pipeline.one_of_each(spark, docs.limit(0), "").count() == 0
