@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 
 
-#: A long run with a digit, or the value of an assignment to a telling name.
-RUN = r"(?<![A-Za-z0-9+/_=@.-])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=@-])"
-ASSIGNED = r"(?i)\b(?:password|passwd|pwd|secret|token|api_?key|access_?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{8,128})"
+#: A long run with a digit, with all its dotted parts, or the value of an assignment to a name that holds a telling word.
+RUN = r"(?<![A-Za-z0-9+/_@-])(?=[A-Za-z+/_-]*+(?:\.[A-Za-z+/_-]++)*+\.?[0-9])[A-Za-z0-9+/_-]{16,}+(?:\.[A-Za-z0-9+/_-]++)*+={0,2}+(?![A-Za-z0-9+/_=@-])"
+ASSIGNED = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\w-]*[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{8,})"
 TELLING = "(?i)(pass|pwd|secret|token|key|auth|bearer|credential)"
 HARMLESS = "(?i)(commit|sha|md5|hash|checksum|digest|uuid|guid|version|build|order|phone|page|item|path|file|url|http|image|id)"
 PLACEHOLDER = r"(?i)(example|sample|dummy|your[_-]|placeholder|changeme|x{4,}|0{6,}|1234567)"
