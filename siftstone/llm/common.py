@@ -51,27 +51,32 @@ def partitions(spark: SparkSession, least: int = 16) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema, owner: str = "") -> DataFrame:
-    """mapInArrow with a function of one batch; batches without rows are passed over.
+def by_task(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, owner: str = "") -> DataFrame:
+    """mapInArrow with a function of a task's batches.
 
-    owner: whose word caches f uses; a worker frees all others first. Where the session has Spark's default
-    batch of 10,000 rows, it is lowered: whole documents would make such batches too large for a worker.
+    owner: whose word caches f uses; a worker frees all others first. Batches are cut to BATCH rows here:
+    whole documents would make batches of Spark's size too large for a worker.
     """
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(name) == "10000":
-        conf.set(name, str(BATCH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Recent.work_for(owner)
-        for b in batches:
-            if b.num_rows:
-                out = f(b)
-                yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        yield from f(b.slice(at, BATCH) for b in batches for at in range(0, b.num_rows, BATCH))
         trim()
 
     return df.mapInArrow(run, schema)
 
 
+def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema, owner: str = "") -> DataFrame:
+    """mapInArrow with a function of one batch; batches without rows are passed over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = f(b)
+            yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+
+    return by_task(df, run, schema, owner)
+
+
 def trim() -> None:
     """Gives freed memory back to the system: a worker lives on between tasks beside others of its executor."""
     pa.default_memory_pool().release_unused()

@@ -1,143 +1,194 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-case words and word beginnings that labelled examples associate with the label; their
-document frequencies are counted over all documents. Examples lie in blocks; for each term and block
-the index keeps the block's largest weight, so a document's cosine with any example of a block is
-bounded by a sum of a few numbers, and blocks are read in order of that bound until it cannot beat
-the k-th best. The neighbours' labels vote with weights that fall with distance; votes are calibrated
-by isotonic regression on the examples' own leave-one-out votes.
+Terms are all lower-case words and the first letters of longer ones; no vocabulary is chosen. A term is a
+number below `terms`, its hash, so document frequencies are one array of that length, counted over all
+documents. A term weighs (1 + log of its count) times its idf times a learned factor of one or more, which
+is larger for terms that labelled rows hold oftener with label 1 than chance would; no term weighs less
+for it. Lengths are those of the whole vectors, so the cosine is that of whole documents.
+
+Examples lie in blocks; for each term and block the index keeps the block's largest weight, so a document's
+cosine with any example of a block is bounded by a sum of a few numbers; blocks of large bound are read
+first, and of the others those whose bound the k-th best does not beat. The neighbours' labels vote with weights that fall with
+distance. A part of the labelled rows stays out of the index and out of the factors; votes are calibrated
+by isotonic regression on the labels of those rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections import Counter
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import Recent, by_batch, durable, plain_texts, trim
+from siftstone.llm.common import Recent, by_batch, by_task, durable, plain_texts, trim
 
 WORD = re.compile(r"[^\W\d_]+")
+PARTS = 64  # an array of frequencies travels in so many pieces
+COMMON = 512  # terms that the most examples hold, scored as a matrix
+QUERIES = 256  # documents scored at once
 
 
 @dataclass(frozen=True)
 class Settings:
-    """examples: at most so many labelled rows are learned from (those of least hash); terms: vocabulary bound."""
+    """examples: at most so many labelled rows are learned from (those of least hash), a `calibrate`th of them for calibration."""
 
-    examples: int = 8192
-    terms: int = 2048
-    prefixes: tuple[int, ...] = (4, 5, 6)
-    least_z: float = 4.5
+    examples: int = 4096
+    calibrate: int = 4
+    terms: int = 1 << 20
+    prefix: int = 5
     neighbours: int = 15
-    block: int = 64
+    block: int = 256
     softness: float = 0.05
     threshold: float = 0.3
 
 
-def _terms_of(token: str, prefixes: tuple[int, ...]) -> tuple[str, ...]:
-    found = []
-    for w in WORD.findall(token.lower()):
-        found.append(w)
-        found += [w[:n] + "-" for n in prefixes if len(w) > n]
-    return tuple(found)
+class Terms:
+    """Numbers of a text's terms; those of white-space separated tokens met lately are kept."""
 
+    def __init__(self, s: Settings):
+        self.s, self.of = s, Recent(self._of, "toxicity", 250_000)
 
-_TERMS: dict = {}
+    def _of(self, token: str) -> bytes:
+        low, out, n, terms, crc = token.lower(), b"", self.s.prefix, self.s.terms, zlib.crc32
+        for w in (low,) if low.isalpha() else WORD.findall(low):
+            x = w.encode()
+            out += (crc(x) % terms).to_bytes(4, "little")
+            if len(w) >= n:
+                out += (crc(b"-" + (x[:n] if len(x) == len(w) else w[:n].encode())) % terms).to_bytes(4, "little")
+        return out
 
+    def all(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.of.__getitem__, text.split())), np.int32)
 
-def _counts(text: str, known: dict[str, int] | None, prefixes: tuple[int, ...], key: object = None) -> dict:
-    """Terms of a whole text with their numbers; known: only those, by their index."""
-    if key not in _TERMS:
-        Recent._all[:] = [r for r in Recent._all if r.owner != "toxicity"]
-        _TERMS.clear()
-        if known is None:  # all terms of a few documents
-            _TERMS[key] = Recent(lambda t: _terms_of(t, prefixes), "toxicity", 20_000)
-        else:
-            _TERMS[key] = Recent(lambda t: tuple(known[x] for x in _terms_of(t, prefixes) if x in known), "toxicity", 150_000)
-    terms, out = _TERMS[key], {}
-    for token, n in Counter(text.split()).items():
-        for x in terms[token]:
-            out[x] = out.get(x, 0) + n
-    return out
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(terms in order, how often each stands in the text)."""
+        terms, counts = np.unique(self.all(text), return_counts=True)
+        return terms, counts.astype(float)
+
+
+_TERMS: dict[Settings, Terms] = {}
+
+
+def terms_of(s: Settings) -> Terms:
+    if s not in _TERMS:
+        _TERMS[s] = Terms(s)
+    return _TERMS[s]
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one after another."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
+
+
+def weigh(weight: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    w = (1 + np.log(counts)) * weight[terms]
+    norm = np.sqrt((w * w).sum())
+    return w / norm if norm else w
 
 
 class Index:
-    """Block-max inverted index of example vectors; all arithmetic in double precision."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, idf: np.ndarray, block: int):
-        self.idf, self.block = idf, block
-        weights = [self.weigh(t, f) for t, f in vectors]
-        # Examples of like vectors share blocks: by their heaviest term.
-        order = sorted(range(len(vectors)), key=lambda i: (int(vectors[i][0][np.argmax(weights[i])]) if len(weights[i]) else -1, i))
-        self.source = np.array(order, np.int64)
-        self.labels = labels[order].astype(float)
-        self.empty = np.array([len(weights[i]) == 0 for i in order], bool)
-        self.blocks = -(-max(len(order), 1) // block)
-        sizes = [len(weights[i]) for i in order]
-        terms = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
-        by_term = np.argsort(terms, kind="stable")  # places stay in order within a term
-        bounds = np.searchsorted(terms[by_term], np.arange(1, len(idf)))
-        self.at = np.split(np.repeat(np.arange(len(order)), sizes)[by_term], bounds)
-        self.weight = np.split(np.concatenate([np.zeros(0), *(weights[i] for i in order)])[by_term], bounds)
-        self.cut = [np.searchsorted(a, np.arange(self.blocks + 1) * block) for a in self.at]
-        self.most = np.zeros((len(idf), self.blocks))
-        for t, (a, w) in enumerate(zip(self.at, self.weight, strict=True)):
-            np.maximum.at(self.most[t], a // block, w)
-
-    def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
-        norm = np.sqrt((w * w).sum())
-        return w / norm if norm else w
-
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """(cosine, place) of the k nearest examples of cosine over zero, nearest first, ties to the smaller place."""
-        q = self.weigh(terms, counts)
-        bounds = q @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            # a hair of slack for rounding; equal cosines are read on, since ties go by place
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-12:
-                break
-            score = np.zeros(self.block)
-            for t, w in zip(terms, q, strict=True):
-                s, e = self.cut[t][b], self.cut[t][b + 1]
-                if s < e:
-                    score[self.at[t][s:e] - b * self.block] += w * self.weight[t][s:e]
-            for i in np.flatnonzero(score > 0):
-                if (place := int(b * self.block + i)) != without:
-                    best.append((-float(score[i]), place))
-            best = sorted(best)[:k]
-        return [(-s, p) for s, p in best]
+    """Block-max inverted index of example vectors; all arithmetic in double precision.
+
+    The few terms that the most examples hold are rows of a matrix, which scores many documents at once; all
+    others have postings, sorted by term and place. A block's bound is what the matrix gives its best example
+    and the sum of its largest weights under the other terms. An entry is a term's run of postings in one block.
+    """
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, labels: np.ndarray, weight: np.ndarray, block: int):
+        self.weight, self.block, n = weight, block, len(vectors)
+        weighed = [weigh(weight, *v) for v in vectors]
+        held = np.bincount(np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]), minlength=len(weight))
+        # Examples of like vectors share blocks: by the heaviest term that others have too.
+        lead = [int(t[np.argmax(w * (held[t] > 3))]) if len(t) else -1 for (t, _), w in zip(vectors, weighed, strict=True)]
+        order = np.lexsort((ids, lead))
+        self.ids, self.labels = ids[order], labels[order].astype(float)
+        self.empty = np.array([len(vectors[i][0]) == 0 for i in order], bool)
+        self.blocks = -(-max(n, 1) // block)
+        sizes = np.array([len(vectors[i][0]) for i in order], np.int64)
+        terms = np.concatenate([np.zeros(0, np.int32), *(vectors[i][0] for i in order)])
+        place, value = np.repeat(np.arange(n), sizes), np.concatenate([np.zeros(0), *(weighed[i] for i in order)])
+        common = np.argsort(-held, kind="stable")[:COMMON]
+        self.column = np.full(len(weight), -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), n))
+        at = self.column[terms]
+        self.dense[at[at >= 0], place[at >= 0]] = value[at >= 0]
+        by_term = np.flatnonzero(at < 0)
+        by_term = by_term[np.argsort(terms[by_term], kind="stable")]  # places stay in order within a term
+        terms, self.place, self.value = terms[by_term], place[by_term], value[by_term]
+        blocks = self.place // block
+        first = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])]) if len(terms) else np.zeros(0, np.int64)
+        self.start = np.append(first, len(terms))  # of an entry's postings
+        self.of_block = blocks[first].astype(np.int32)
+        self.most = np.maximum.reduceat(self.value, first) if len(first) else np.zeros(0)
+        known, at = np.unique(terms[first], return_index=True)
+        self.entry = np.append(at, len(first))  # of a known term's entries
+        self.slot = np.full(len(weight), -1, np.int32)
+        self.slot[known] = np.arange(len(known))
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int):
+        """For each vector (cosines, places) of its k nearest examples of cosine over zero, nearest first.
+
+        Cosines that agree to 12 digits go by the smaller id.
+        """
+        for at in range(0, len(vectors), QUERIES):
+            asked = [(t, weigh(self.weight, t, c)) for t, c in vectors[at : at + QUERIES]]
+            q = np.zeros((len(asked), len(self.dense)))
+            for row, (t, w) in zip(q, asked, strict=True):
+                col = self.column[t]
+                row[col[col >= 0]] = w[col >= 0]
+            score = q @ self.dense
+            for (t, w), s in zip(asked, score, strict=True):
+                yield self._nearest(t, w, s, k) if len(self.ids) else (np.zeros(0), np.zeros(0, np.int64))
+
+    def _nearest(self, terms: np.ndarray, q: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """score: what the common terms give; the postings of the others are added."""
+        slot = self.slot[terms]
+        q, slot = q[slot >= 0], slot[slot >= 0]
+        size = self.entry[slot + 1] - self.entry[slot]
+        entries, weight = _spread(self.entry[slot], size), np.repeat(q, size)
+        blocks = self.of_block[entries]
+        bound = np.maximum.reduceat(score, np.arange(0, len(score), self.block)) + np.bincount(blocks, weight * self.most[entries], self.blocks)
+        read, least, first = np.zeros(len(score), bool), 0.0, bound >= np.median(bound)
+        for now in (first, ~first):  # the blocks of larger bound, then those of the others that can still beat the k-th best
+            now = now & (bound > 0) & (bound >= least - 1e-11)  # a hair of slack for rounding; equal cosines are read, since ties go by id
+            if now.any():
+                mine = now[blocks]
+                e = entries[mine]
+                size = self.start[e + 1] - self.start[e]
+                p = _spread(self.start[e], size)
+                score += np.bincount(self.place[p], np.repeat(weight[mine], size) * self.value[p], len(score))
+                read |= np.repeat(now, self.block)[: len(score)]
+                if read.sum() > k:
+                    least = max(np.partition(score[read], read.sum() - k)[read.sum() - k], 0.0)
+        found = np.flatnonzero(read & (score > 1e-12) & (score >= least - 1e-11))
+        near = np.round(score[found], 12)
+        order = np.lexsort((self.ids[found], -near))[:k]
+        return near[order], found[order]
 
 
 class Model:
-    def __init__(self, known: dict[str, int], index: Index, settings: Settings):
-        self.known, self.index, self.settings = known, index, settings
-        n = max(len(index.labels), 1)
-        self.prior = float((index.labels.sum() + 0.5) / (n + 1)) if len(index.labels) else 0.0
-        blank = index.empty
-        self.none = float((index.labels[blank].sum() + self.prior) / (blank.sum() + 1))
-        self.grid = self.level = None
-
-    def vote(self, terms: np.ndarray, counts: np.ndarray, without: int = -1) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.nearest(terms, counts, self.settings.neighbours, without) if len(terms) else []
-        if not near:
-            return self.none, near
-        w = np.array([1 / (1 - min(s, 1.0) + self.settings.softness) for s, _ in near])
-        y = self.index.labels[[p for _, p in near]]
-        return float(((w * y).sum() + self.prior) / (w.sum() + 1)), near
-
-    def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Isotonic regression (pooled neighbours) of the labels on the leave-one-out votes."""
-        place = np.empty(len(vectors), np.int64)
-        place[self.index.source] = np.arange(len(vectors))
-        votes = np.array([self.vote(*v, without=int(place[i]))[0] for i, v in enumerate(vectors)])
-        labels = self.index.labels[place]
+    def __init__(self, index: Index, settings: Settings):
+        self.index, self.settings = index, settings
+        n = len(index.labels)
+        self.prior = float((index.labels.sum() + 0.5) / (n + 1)) if n else 0.0
+        self.none = float((index.labels[index.empty].sum() + self.prior) / (index.empty.sum() + 1))
+        self.grid = self.level = np.zeros(0)
+
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
+        """For each vector (share of votes for label 1, cosines, places)."""
+        for (terms, _), (near, at) in zip(vectors, self.index.nearest(vectors, self.settings.neighbours), strict=True):
+            w = 1 / (1 - np.minimum(near, 1.0) + self.settings.softness)
+            yield float(((w * self.index.labels[at]).sum() + self.prior) / (w.sum() + 1)) if len(terms) else self.none, near, at
+
+    def calibrate(self, votes: np.ndarray, labels: np.ndarray) -> None:
+        """Isotonic regression (pooled neighbours) of labels on votes."""
         pools: list[list[float]] = []
         for x in np.unique(votes):
             here = votes == x
@@ -151,36 +202,57 @@ class Model:
 
     def score(self, raw: float) -> float:
         """Calibrated and then kept strictly increasing by a hundredth of the raw vote."""
-        if self.grid is None or not len(self.grid):
+        if not len(self.grid):
             return raw
         return float(0.99 * np.interp(raw, self.grid, self.level) + 0.01 * raw)
 
 
-def _stamp(known: dict[str, int]) -> str:
-    """A worker keeps the terms of one vocabulary at a time; this tells them apart."""
-    return hashlib.sha256(repr(sorted(known.items())).encode()).hexdigest()
-
-
-def _features(docs: DataFrame, known: dict[str, int], settings: Settings) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    stamp = _stamp(known)
-
-    def one(b: pa.RecordBatch) -> pa.Table:
-        found = [_counts(x, shared.value, settings.prefixes, stamp) for x in plain_texts(b.column(1))]
-        return pa.table(
-            {
-                "doc_id": b.column(0),
-                "terms": pa.array([sorted(x) for x in found], pa.list_(pa.int32())),
-                "counts": pa.array([[x[t] for t in sorted(x)] for x in found], pa.list_(pa.int32())),
-            }
-        )
-
-    return by_batch(docs, one, "doc_id long, terms array<int>, counts array<int>", "toxicity")
-
-
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"):
-    """(model or None, doc_ids of its examples, vocabulary, features of all documents)."""
-    spark = docs.sparkSession
+def frequencies(docs: DataFrame, settings: Settings, text: str = "text") -> tuple[np.ndarray, int]:
+    """(in how many documents each term stands, number of documents), over all rows; `terms` numbers reach the driver."""
+    n = settings.terms
+    size = -(-n // PARTS)
+
+    def counted(batches):
+        total, rows, terms = np.zeros(size * PARTS, np.int32), 0, terms_of(settings)
+        for b in batches:
+            for x in plain_texts(b.column(0)):
+                total[np.unique(terms.all(x))] += 1
+            rows += b.num_rows
+        if rows:
+            parts = [zstandard.compress(x.tobytes(), 1) for x in total.reshape(PARTS, size)]
+            yield pa.RecordBatch.from_pydict({"part": pa.array(range(PARTS), pa.int32()), "n": pa.array([rows] * PARTS, pa.int64()), "counts": pa.array(parts, pa.binary())})
+
+    def summed(batches):
+        total: dict[int, list] = {}
+        for b in batches:
+            for part, rows, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                mine = total.setdefault(part, [0, np.zeros(size, np.int64)])
+                mine[0] += rows
+                mine[1] += np.frombuffer(zstandard.decompress(x), np.int32)
+        for part, (rows, x) in total.items():
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n": pa.array([rows], pa.int64()), "counts": pa.array([zstandard.compress(x.tobytes(), 1)], pa.binary())})
+
+    shape = "part int, n long, counts binary"
+    each = by_task(docs.select(text), counted, shape, "toxicity")
+    whole = by_task(each.repartition(PARTS, "part"), summed, shape, "toxicity").collect()  # PARTS rows, `terms` numbers
+    df, rows = np.zeros((PARTS, size), np.int64), 0
+    for r in whole:
+        df[r["part"]] = np.frombuffer(zstandard.decompress(r["counts"]), np.int64)
+        rows = r["n"]
+    return df.ravel(), rows
+
+
+def factors(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, n: int) -> np.ndarray:
+    """For each term 1, or more if rows that hold it have label 1 oftener than chance: 1 plus the excess in standard deviations."""
+    rate = labels.mean() if len(labels) else 0.0
+    none = [np.zeros(0, np.int32)]
+    held = np.bincount(np.concatenate(none + [t for t, _ in vectors]), minlength=n)
+    hit = np.bincount(np.concatenate(none + [t for (t, _), y in zip(vectors, labels, strict=True) if y]), minlength=n)
+    return 1 + np.maximum((hit - held * rate) / np.sqrt(held * (rate * (1 - rate)) + 1), 0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model | None:
+    """The model of the labelled rows; None without any."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chosen = durable(
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -190,99 +262,81 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings, doc_id: str = "d
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(settings.examples)
     )  # at most settings.examples rows of two numbers: small enough to broadcast
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
-
-    def terms(b: pa.RecordBatch) -> pa.Table:
-        total: Counter = Counter()
-        for x, y in zip(plain_texts(b.column(1)), b.column(2).to_pylist(), strict=True):
-            for t in _counts(x, None, settings.prefixes):
-                total[t, y] += 1
-            total["", y] += 1
-        return pa.table({"term": [t for t, _ in total], "y": pa.array([y for _, y in total], pa.int32()), "n": pa.array(total.values(), pa.int64())})
-
-    seen = durable(
-        by_batch(sample, terms, "term string, y int, n long", "toxicity")
-        .groupBy("term")
-        .agg(F.sum("n").alias("df"), F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("hit"))
-    )
-    whole = seen.filter("term = ''").collect()
-    size, toxic = (whole[0]["df"], whole[0]["hit"]) if whole else (0, 0)
-    if not size:
-        return None, None, {}, durable(_features(docs, {}, settings))
-    rate = toxic / size
-    z = (F.col("hit") - F.col("df") * rate) / F.sqrt(F.col("df") * (rate * (1 - rate)) + 1)
-    picked = seen.filter("term <> ''").select("term", z.alias("z")).filter(F.col("z") >= settings.least_z).orderBy(F.desc("z"), "term").limit(settings.terms).collect()
-    known = {r["term"]: i for i, r in enumerate(picked)}
-    features = durable(_features(docs, known, settings))
-    n_docs = features.count()
-    counts = features.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()  # at most settings.terms rows
-    df = np.zeros(len(known))
-    for r in counts:
-        df[r["t"]] = r["n"]
-    idf = np.log((1 + n_docs) / (1 + df)) + 1
-    examples = features.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "y")).alias("x"))
-    rows = examples.select("doc_id", "x.*").toArrow().sort_by("doc_id").combine_chunks()  # bounded as chosen; columns, since Python objects would take the driver far more memory
-    terms_of, counts_of = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
-    at, flat, number = (x.to_numpy() for x in (terms_of.offsets, terms_of.values, counts_of.values))
-    vectors = [(flat[i:j].astype(np.int64), number[i:j].astype(float)) for i, j in zip(at, at[1:], strict=False)]
-    index = Index(vectors, rows.column("y").to_numpy(), idf, settings.block)
-    model = Model(known, index, settings)
-    model.calibrate(vectors)
-    ids = rows.column("doc_id").to_numpy()[index.source]
-    del rows, vectors, terms_of, counts_of, flat, number
+
+    def vectors(b: pa.RecordBatch) -> pa.Table:
+        found = [terms_of(settings).vector(x) for x in plain_texts(b.column(1))]
+        kind = pa.list_(pa.int32())
+        return pa.table({"doc_id": b.column(0), "y": b.column(2), "terms": pa.array([t.astype(np.int32) for t, _ in found], kind), "counts": pa.array([n.astype(np.int32) for _, n in found], kind)})
+
+    shape = "doc_id long, y int, terms array<int>, counts array<int>"
+    rows = by_batch(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), vectors, shape, "toxicity")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "y")).alias("x")).select("doc_id", "x.*")
+    rows = rows.toArrow().sort_by("doc_id").combine_chunks()  # bounded as chosen; columns, since Python objects would take the driver far more memory
+    if not len(rows):
+        return None
+    df, n_docs = frequencies(docs, settings)
+    terms, counts = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
+    at, flat, number = (x.to_numpy() for x in (terms.offsets, terms.values, counts.values))
+    every = [(flat[i:j], number[i:j].astype(float)) for i, j in zip(at, at[1:], strict=False)]
+    ids, y = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy()
+    aside = np.array([zlib.crc32(b"calibrate %d" % i) % settings.calibrate == 0 for i in ids.tolist()])
+    if aside.all():
+        aside[:] = False
+    index_of, rest = np.flatnonzero(~aside), np.flatnonzero(aside)
+    mine = [every[i] for i in index_of]
+    weight = np.log((1 + n_docs) / (1 + df[: settings.terms])) * factors(mine, y[index_of], settings.terms)
+    model = Model(Index(mine, ids[index_of], y[index_of], np.maximum(weight, 0.0), settings.block), settings)
+    model.calibrate(np.array([v for v, _, _ in model.votes([every[i] for i in rest])]), y[rest].astype(float))
+    del rows, every, mine, terms, counts, flat, number
     trim()
-    return model, ids, known, features
+    return model
 
 
 def score_documents(
     docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> DataFrame:
-    """(doc_id, score, predicted, evidence) of every row; evidence: the nearest examples' (doc_id, cosine, label).
+    """(doc_id, score, predicted, evidence) of every row; evidence: all voters' (doc_id, cosine, label), nearest first.
 
     labels: (doc_id, label 0/1) of the rows to learn from; rows with a null in either, and labels of
     documents that aren't there, are left aside; of repeated labels the larger counts. Without any label
-    every score is 0. A text without known terms (empty, null) gets the rate of the examples without any.
-    Repeated rows are scored alike; a null doc_id stays null; extra columns are left aside.
+    every score is 0. A text without words (empty, null) gets the rate of the examples without any, a text
+    that shares no term with an example the rate of all. Cosines equal to 12 digits go by the smaller doc_id. Texts of
+    any length are read whole. Repeated rows are scored alike; a null doc_id stays null; extra columns are
+    left aside, whatever their names.
     """
-    model, ids, _, features = fit(docs, labels, settings, doc_id, text, label)
+    model = fit(docs, labels, settings, doc_id, text, label)
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    shape = "array<struct<doc_id:bigint,cosine:double,label:int>>"
     if model is None:
-        return features.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.expr("CAST(array() AS array<struct<doc_id:bigint,cosine:double,label:int>>)").alias("evidence"))
-    shared = docs.sparkSession.sparkContext.broadcast((model, ids))
+        return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.expr(f"CAST(array() AS {shape})").alias("evidence"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(b: pa.RecordBatch) -> pa.Table:
-        m, example_ids = shared.value
-        scores, evidence, blank = [], [], m.score(m.none)
-        for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            if not t:
-                scores.append(blank)
-                evidence.append([])
-                continue
-            raw, near = m.vote(np.array(t, np.int64), np.array(c, float))
+        m, scores, ends, near, who = shared.value, [], [0], [], []
+        for raw, cosines, at in m.votes(list(map(terms_of(settings).vector, plain_texts(b.column(1))))):
             scores.append(m.score(raw))
-            evidence.append([{"doc_id": int(example_ids[p]), "cosine": s, "label": int(m.index.labels[p])} for s, p in near[:3]])
-        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
-        return pa.table({"doc_id": b.column(0), "score": scores, "predicted": pa.array([int(s >= settings.threshold) for s in scores], pa.int32()), "evidence": pa.array(evidence, kind)})
+            near.append(cosines)
+            who.append(at)
+            ends.append(ends[-1] + len(at))
+        at = np.concatenate(who).astype(np.int64)
+        voters = pa.StructArray.from_arrays([pa.array(m.index.ids[at]), pa.array(np.concatenate(near)), pa.array(m.index.labels[at].astype(np.int32))], ["doc_id", "cosine", "label"])
+        made = {"doc_id": b.column(0), "score": scores, "predicted": pa.array([int(s >= settings.threshold) for s in scores], pa.int32())}
+        return pa.table(made | {"evidence": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), voters)})
 
-    return by_batch(features, score, "doc_id long, score double, predicted int, evidence array<struct<doc_id:bigint,cosine:double,label:int>>")
+    return by_batch(docs, score, f"doc_id long, score double, predicted int, evidence {shape}", "toxicity")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """The rows of docs, all columns kept, whose score stays under the threshold; scored as they are read, without a shuffle of texts."""
-    model, _, known, _ = fit(docs, labels, settings, doc_id, text, label)
+    model = fit(docs, labels, settings, doc_id, text, label)
     if model is None:
         return docs
-    shared, stamp = docs.sparkSession.sparkContext.broadcast((model, known)), _stamp(known)
-    at = docs.columns.index(text)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def clean(b: pa.RecordBatch) -> pa.RecordBatch:
-        m, k = shared.value
-        keep = []
-        for x in plain_texts(b.column(at)):
-            found = _counts(x, k, settings.prefixes, stamp)
-            terms = np.array(sorted(found), np.int64)
-            raw = m.vote(terms, np.array([found[t] for t in terms], float))[0] if len(terms) else m.none
-            keep.append(m.score(raw) < settings.threshold)
-        return b.filter(pa.array(keep))
+        m, terms = shared.value, terms_of(settings)
+        votes = m.votes(list(map(terms.vector, plain_texts(b.column(at)))))
+        return b.filter(pa.array([m.score(raw) < settings.threshold for raw, _, _ in votes]))
 
     return by_batch(docs, clean, docs.schema, "toxicity")
 
