@@ -26,10 +26,13 @@ def vocabulary(name: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where that is unset (tests on one machine), a temporary one."""
+    """The folder of spark.checkpoint.dir; where that is unset and the master is local (tests), a temporary one."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siftstone-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siftstone-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -93,6 +96,17 @@ def plain_texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened until no column has them (Spark's columns are told apart without regard to case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def text_col(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

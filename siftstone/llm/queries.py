@@ -65,12 +65,12 @@ WITH t AS (
 w AS (SELECT DISTINCT conv_id, speaker AS participant FROM t WHERE speaker <> 'system'),
 m AS (
   SELECT t.conv_id, participant, turn, speaker, body, speaker = participant AS own,
-    '<|im_start|>' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = participant THEN 'assistant' ELSE 'user name=' || speaker END || chr(10) AS head
+    '<|im_start|>' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = participant THEN 'assistant' ELSE 'user name=' || translate(replace(speaker, '<|', '< |'), chr(10) || chr(13), '  ') END || chr(10) AS head
   FROM t JOIN w ON t.conv_id = w.conv_id),
-s AS (SELECT conv_id, participant, turn, speaker, own, length(head) AS h, head || body || '<|im_end|>' || chr(10) AS segment FROM m),
+s AS (SELECT conv_id, participant, turn, speaker, own, body, length(head) AS h, head || body || '<|im_end|>' || chr(10) AS segment FROM m),
 o AS (
   SELECT *, length(segment) AS n, coalesce(sum(length(segment)) OVER (
-    PARTITION BY conv_id, participant ORDER BY turn NULLS LAST, speaker, segment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    PARTITION BY conv_id, participant ORDER BY turn NULLS LAST, speaker, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM s)
 SELECT conv_id, participant, turn, speaker, segment, CAST(before AS BIGINT) AS start,
   CASE WHEN own THEN CAST(before + h AS BIGINT) END AS mask_start, CASE WHEN own THEN CAST(before + n - 1 AS BIGINT) END AS mask_end
