@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
+from siftstone.llm.common import unused
 
 #: A long run with a digit, with all its dotted parts, or the value of an assignment to a name that holds a telling word.
 RUN = r"(?<![A-Za-z0-9+/_@-])(?=[A-Za-z+/_-]*+(?:\.[A-Za-z+/_-]++)*+\.?[0-9])[A-Za-z0-9+/_-]{16,}+(?:\.[A-Za-z0-9+/_-]++)*+={0,2}+(?![A-Za-z0-9+/_=@-])"
@@ -27,7 +27,8 @@ HARMLESS = "(?i)(commit|sha|md5|hash|checksum|digest|uuid|guid|version|build|ord
 PLACEHOLDER = r"(?i)(example|sample|dummy|your[_-]|placeholder|changeme|x{4,}|0{6,}|1234567)"
 TRYOUT = "(?i)(test|example|sample|fixture|mock|doc)"
 FEATURES = ("len", "digits", "uppers", "runs", "usual", "covered", "variety", "hexed", "telling", "harmless", "assigned", "placeholder", "prefixed", "tryout")
-WORDS = 512
+WORDS = 512  # of the dictionary: the most frequent ones of all documents
+NEAR = 160  # characters in which three neighbouring words are looked for
 
 
 def dictionary(docs: DataFrame, text: str = "text", size: int = WORDS) -> list[str]:
@@ -142,30 +143,32 @@ def _expression(tree, f: Column) -> Column:
     return F.when(f[FEATURES[feature]] <= threshold, _expression(low, f)).otherwise(_expression(high, f))
 
 
-def found(docs: DataFrame, forest, words: list[str], text: str = "text", path: str = "source") -> DataFrame:
-    """docs with a column _found: array of (pos from 1, candidate, score), in order of place."""
-    t = F.coalesce(F.col(text), F.lit(""))
+def found(docs: DataFrame, forest, words: list[str], name: str, text: str = "text", path: str = "source") -> DataFrame:
+    """docs with a column `name`: array of (pos from 1, candidate, score), in order of place."""
+    t, c, p, f = unused([*docs.columns, name], "_t", "_c", "_p", "_f")
     both = F.concat(F.regexp_extract_all(t, F.lit(RUN), F.lit(0)), F.regexp_extract_all(t, F.lit(ASSIGNED), F.lit(1)))
     # Each distinct candidate, with all its places.
     each = F.filter(F.array_distinct(both), lambda c: c != "")
-    spots = "filter(transform(split(_t, concat('\\\\Q', replace(c, '\\\\E', ''), '\\\\E'), -1), x -> length(x)), x -> true)"
+    spots = f"filter(transform(split(`{t}`, concat('\\\\Q', replace(c, '\\\\E', ''), '\\\\E'), -1), x -> length(x)), x -> true)"
     placed = (
-        f"flatten(transform(_c, c -> transform(aggregate(slice({spots}, 1, size({spots}) - 1), CAST(array() AS array<int>), "
+        f"flatten(transform(`{c}`, c -> transform(aggregate(slice({spots}, 1, size({spots}) - 1), CAST(array() AS array<int>), "
         "(a, n) -> concat(a, array(n + 1 + if(size(a) = 0, 0, element_at(a, -1) + length(c) - 1)))), p -> named_struct('pos', p, 'c', c))))"
     )
-    p = F.coalesce(F.col(path), F.lit("")) if path in docs.columns else F.lit("")
-    around = docs.withColumn("_t", t).withColumn("_c", each).withColumn("_p", F.when(F.size("_c") > 0, F.expr(placed)).otherwise(F.expr("CAST(array() AS array<struct<pos:int,c:string>>)")))
+    where = F.coalesce(F.col(path), F.lit("")) if path in docs.columns else F.lit("")
+    none = F.expr("CAST(array() AS array<struct<pos:int,c:string>>)")
+    around = docs.withColumn(t, F.coalesce(F.col(text), F.lit(""))).withColumn(c, each).withColumn(p, F.when(F.size(c) > 0, F.expr(placed)).otherwise(none))
 
     def scored(x: Column) -> Column:
-        start = F.greatest(x["pos"] - 32, F.lit(1))
-        before = F.substring(F.col("_t"), start, x["pos"] - start)
-        after = F.substring(F.col("_t"), x["pos"] + F.length(x["c"]), F.lit(24))
-        return F.struct(x["pos"].alias("pos"), x["c"].alias("candidate"), described(x["c"], before, after, p, words).alias("f"))
+        start = F.greatest(x["pos"] - NEAR, F.lit(1))
+        before = F.split(F.substring(F.col(t), start, x["pos"] - start), r"\s+")
+        after = F.split(F.substring(F.col(t), x["pos"] + F.length(x["c"]), F.lit(NEAR)), r"\s+")
+        left = F.array_join(F.slice(before, F.greatest(F.size(before) - 3, F.lit(1)), 4), " ")  # three words, and what stands directly before
+        right = F.array_join(F.slice(after, 1, 4), " ")
+        return F.struct(x["pos"].alias("pos"), x["c"].alias("candidate"), described(x["c"], left, right, where, words).alias("f"))
 
-    featured = around.withColumn("_f", F.transform("_p", scored))
-    return featured.withColumn(
-        "_found", F.array_sort(F.transform("_f", lambda x: F.struct(x["pos"].alias("pos"), x["candidate"].alias("candidate"), forest(x["f"]).alias("score"))))
-    ).drop("_t", "_c", "_p", "_f")
+    featured = around.withColumn(f, F.transform(p, scored))
+    scores = F.transform(f, lambda x: F.struct(x["pos"].alias("pos"), x["candidate"].alias("candidate"), forest(x["f"]).alias("score")))
+    return featured.withColumn(name, F.array_sort(scores)).select(*docs.columns, name)
 
 
 def prepared(docs: DataFrame, text: str = "text", findings: DataFrame | None = None):
@@ -181,15 +184,20 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
     result. A missing path column, or a null path, counts as an empty path. Extra columns are left aside.
     """
     forest, words = prepared(docs, text, findings)
-    got = found(docs, forest, words, text, path).select(F.col(doc_id).alias("doc_id"), F.explode("_found").alias("x"))
+    (name,) = unused(docs.columns, "_found")
+    got = found(docs, forest, words, name, text, path).select(F.col(doc_id).alias("doc_id"), F.explode(name).alias("x"))
     return got.select("doc_id", F.col("x.pos").alias("pos"), F.length("x.candidate").alias("length"), F.col("x.candidate").alias("candidate"), F.col("x.score").alias("score"), (F.col("x.score") >= threshold).alias("is_secret"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", findings: DataFrame | None = None, threshold: float = 0.5, text: str = "text", path: str = "source") -> DataFrame:
-    """The documents, all columns kept, with every secret in the text replaced by the mark; other texts are unchanged."""
+    """The documents, all columns kept, with every secret in the text replaced by the mark; other texts are unchanged.
+
+    A null or empty text stays as it is, texts of any length are read whole, a secret goes wherever it stands;
+    repeated rows are treated alike; an empty table gives an empty result.
+    """
     forest, words = prepared(docs, text, findings)
-    names = docs.columns
-    secrets = F.array_distinct(F.transform(F.filter("_found", lambda x: x["score"] >= threshold), lambda x: x["candidate"]))
+    (name,) = unused(docs.columns, "_found")
+    secrets = F.array_distinct(F.transform(F.filter(name, lambda x: x["score"] >= threshold), lambda x: x["candidate"]))
     longest_first = F.array_sort(secrets, lambda a, b: (F.length(b) - F.length(a)).cast("int"))
     cleaned = F.aggregate(longest_first, F.col(text), lambda t, c: F.replace(t, c, F.lit(mark)))
-    return found(docs, forest, words, text, path).withColumn(text, cleaned).select(*names)
+    return found(docs, forest, words, name, text, path).withColumn(text, cleaned).select(*docs.columns)

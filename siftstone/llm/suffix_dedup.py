@@ -23,8 +23,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from siftstone.llm.common import by_batch, durable, partitions, raw_texts, trim
+from siftstone.llm.common import by_batch, durable, partitions, raw_texts, trim, unused
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PLACE = np.uint64(22)  # bits of a place within a step of `_STEP` positions
@@ -205,7 +206,7 @@ def _split_counts(docs: np.ndarray, hashes: np.ndarray, kind: str) -> pa.Table:
 def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, starts array<long>, ends array<long>, z binary, carried): removed runs in order, z the text packed by zstd.
 
-    carry: a string column to hand on with each row.
+    carry: a column of any type to hand on with each row.
 
     Repeated doc_ids never take from each other (neither is smaller) but take alike from smaller ones; a null
     doc_id neither takes nor gives.
@@ -214,6 +215,8 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     spark = docs.sparkSession
     buckets = partitions(spark, 32)
     t = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (F.col(carry) if carry else F.lit(None).cast("string")).alias("carried"))
+    carried = StructField("carried", t.schema["carried"].dataType)
+    fields = lambda ddl: StructType([*StructType.fromDDL(ddl).fields, carried])
     t = t.withColumn("h", F.xxhash64("text"))  # tells rows of one doc_id apart
 
     def hashed(b: pa.RecordBatch) -> pa.Table:
@@ -346,7 +349,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         mixed.filter("kind = 0").select("doc_id", "h", F.lit(None).cast("array<long>").alias("a"), F.lit(None).cast("array<long>").alias("e"), "local", "twins")
     )
     per_row = runs.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("a")).alias("a"), F.flatten(F.collect_list("e")).alias("e"), F.collect_list("local").alias("local"), F.collect_list("twins").alias("twins"))
-    final = by_batch(t.select("doc_id", "h", "text", "carried"), zipped, "doc_id long, h long, z binary, carried string").join(per_row, ["doc_id", "h"], "left")
+    final = by_batch(t.select("doc_id", "h", "text", "carried"), zipped, fields("doc_id long, h long, z binary")).join(per_row, ["doc_id", "h"], "left")
 
     def joined_runs(b: pa.RecordBatch) -> pa.Table:
         starts, ends, sizes = [], [], []
@@ -366,7 +369,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         kind = pa.list_(pa.int64())
         return pa.table({"doc_id": b.column(0), "n_bytes": pa.array(sizes, pa.int64()), "starts": pa.array(starts, kind), "ends": pa.array(ends, kind), "z": b.column(1), "carried": b.column(2)})
 
-    return by_batch(final.select("doc_id", "z", "carried", "a", "e", "local", "twins"), joined_runs, "doc_id long, n_bytes long, starts array<long>, ends array<long>, z binary, carried string")
+    return by_batch(final.select("doc_id", "z", "carried", "a", "e", "local", "twins"), joined_runs, fields("doc_id long, n_bytes long, starts array<long>, ends array<long>, z binary"))
 
 
 def _small(x: np.ndarray) -> bytes:
@@ -418,7 +421,11 @@ def _kept(z: bytes, starts: list[int], ends: list[int]) -> bytes:
 
 
 def digests(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row; a null or empty text has no bytes."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row; a null or empty text has no bytes.
+
+    Rows of one doc_id keep what no smaller doc_id has, and a null doc_id keeps all. Texts of any length are
+    read whole. Extra columns are left aside, whatever their names; an empty table gives an empty result.
+    """
 
     def one(b: pa.RecordBatch) -> pa.Table:
         starts, ends = b.column(2).to_pylist(), b.column(3).to_pylist()
@@ -432,15 +439,15 @@ def digests(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc
 def remaining(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with what is left of each text, other columns as they were; a character cut in two becomes nothing, a null text empty."""
     rest = [c for c in docs.columns if c not in (doc_id, text)]
-    packed = docs.withColumn("_carried", F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}) if rest else F.lit(None).cast("string"))
+    (carry,) = unused(docs.columns, "_carried")
+    packed = docs.withColumn(carry, F.struct(*rest) if rest else F.lit(None).cast("string"))
 
     def one(b: pa.RecordBatch) -> pa.Table:
         starts, ends = b.column(2).to_pylist(), b.column(3).to_pylist()
         left = [_kept(z, a, e).decode("utf-8", "ignore") for z, a, e in zip(b.column(4).to_pylist(), starts, ends, strict=True)]
         return pa.table({"doc_id": b.column(0), "text": pa.array(left, pa.string()), "carried": b.column(5)})
 
-    left = by_batch(spans(packed, settings, doc_id, text, "_carried"), one, "doc_id long, text string, carried string")
-    if rest:
-        left = left.withColumn("r", F.from_json("carried", docs.select(*rest).schema))
+    found = spans(packed, settings, doc_id, text, carry)
+    left = by_batch(found, one, StructType([*StructType.fromDDL("doc_id long, text string").fields, found.schema["carried"]]))
     own = {doc_id: F.col("doc_id").cast(docs.schema[doc_id].dataType), text: F.col("text")}
-    return left.select(*[(own[c] if c in own else F.col("r")[c]).alias(c) for c in docs.columns])
+    return left.select(*[(own[c] if c in own else F.col("carried")[c]).alias(c) for c in docs.columns])

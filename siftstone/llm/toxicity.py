@@ -42,7 +42,7 @@ class Settings:
     terms: int = 1 << 20
     prefix: int = 5
     neighbours: int = 15
-    block: int = 256
+    block: int = 512
     softness: float = 0.05
     threshold: float = 0.3
 
