@@ -69,7 +69,7 @@ BLUR_SEVERE, BLUR_SLIGHT = 8.0, 15.0
 MODEL_MOVE, MODEL_REVIEW = 0.3, 0.15
 LIBRARY_SIMILARITY = 0.98
 
-#: Labels of the rules.
+#: Labels of the rules. Fixed: results depend on these values.
 RULES = {
     "corrupt": "4-无效图片(损坏/无法解码)",
     "tiny": "4-无效图片(过小缩略图)",
@@ -88,11 +88,25 @@ RULES = {
     "model": "9-水印图片(模型高置信)",
     "library": "参照库相似图(>=95%)",
     "review": "待审核",
+    "unsure": "待确认(不确定即移动)",
+    "duplicate": "重复图片(指纹联动)",
     "user_move": "用户审核确认(移动)",
     "user_keep": "用户审核确认(保留)",
     "none": "-",
 }
 
+#: What evidence says before its value. Fixed: reports are read by these words.
+EVIDENCE = {
+    "corrupt": "无法解码: ", "tiny": "尺寸过小 ", "small": "尺寸偏小 ", "qr": "检测到二维码(按用户口径待确认): ", "blank": "纯色/空白图 ",
+    "near_blank": "疑似纯色/空白 ", "severe_blur": "严重模糊 lap_var=", "slight_blur": "疑似模糊 lap_var=", "watermark_weak": "疑似水印(弱信号): ",
+    "marketing_weak": "疑似营销横幅(弱信号): ", "url": "营销类网址/域名: ", "contact": "联系方式: ", "price": "价格信息: ", "promo": "促销宣传: ",
+    "ecommerce": "电商平台: ", "watermark": "水印关键词: ", "overlay": "营销水印/卖家横幅: ", "logo": "纯LOGO/品牌图（文字简短、色彩少 ncolors=",
+    "model_high": "水印模型高置信(概率", "model_some": "水印模型候选(概率", "library": "与参照库相似度", "duplicate": "与同指纹图片联动（MD5 ",
+    "user": "套用用户审核结论", "failed": "异常: ",
+}
+#: Types of disagreement in the mismatch report.
+MISMATCH = {"FP": "我们移动/参考保留", "FN": "参考移动/我们保留"}
+
 IMAGE_EXTENSIONS = (".webp", ".jpg", ".jpeg", ".png", ".bmp", ".gif", ".avif")
 PHOTO_EXTENSIONS = (".webp", ".jpg", ".jpeg", ".png")
 SKIPPED_FOLDERS = (".cache_thumbs", "err", "err(1)", "watermark_output", "clean_report", "output", "visualized", "review")

@@ -7,8 +7,11 @@ reading of \\w, \\s and \\b.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftstone.functions import lexicon as L
@@ -34,13 +37,45 @@ def texts(lines: Column) -> Column:
 
 
 def _hits(line: Column, patterns: tuple[str, ...], flags: str = "(?U)") -> Column:
+    """All matches, stripped, at most 80 characters of each."""
     found = [F.regexp_extract_all(line, F.lit(flags + p), F.lit(0)) for p in patterns]
-    return found[0] if len(found) == 1 else F.concat(*found)
+    return F.transform(found[0] if len(found) == 1 else F.concat(*found), lambda m: F.substring(strip(m), 1, 80))
 
 
-def _per_line(lines: Column, of_line) -> Column:
-    """Ordered distinct hits over the usable lines; each line is made normal once, before the patterns read it."""
-    return F.array_distinct(F.flatten(F.transform(F.transform(usable(lines), lambda x: normal(x["text"])), of_line)))
+@dataclass(frozen=True)
+class Lines:
+    """Usable lines made normal, and all of them as one text, by which most items are passed over at once."""
+
+    normal: Column
+    whole: Column
+
+
+def normalized(lines: Column) -> Column:
+    return F.transform(usable(lines), lambda x: normal(x["text"]))
+
+
+def of(lines: Column) -> Lines:
+    n = normalized(lines)
+    return Lines(n, joined(n))
+
+
+def joined(normalized: Column) -> Column:
+    return F.array_join(normalized, "\n")
+
+
+def _per_line(lines: Lines, needles: tuple[str, ...], of_line, words: tuple[str, ...] = (), digits: bool = False) -> Column:
+    """Ordered distinct hits over the lines: of_line(line, the words that the whole text holds).
+
+    needles: every hit of a pattern holds one of them (digits: or three digits on end). A text without a
+    needle and a word is passed over by plain searches, without a pattern.
+    """
+    whole, none = lines.whole, F.expr(NO_STRINGS)
+    some = [F.contains(whole, F.lit(x)) for x in (*needles, *words)] + [F.regexp_like(whole, F.lit(r"(?U)\d\d\d"))] * digits
+    table = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(keyword_pattern(w)).alias("p")) for w in words])
+    # An array of one, so that the words that are held are bound once.
+    held = F.array(F.filter(table, lambda k: F.contains(whole, k["w"]))) if words else F.array(F.lit(0))
+    found = F.transform(held, lambda h: F.array_distinct(F.flatten(F.transform(lines.normal, lambda x: of_line(x, h)))))
+    return F.when(reduce(or_, some), F.element_at(found, 1)).otherwise(none)
 
 
 def has_cjk(word: str) -> bool:
@@ -51,10 +86,9 @@ def keyword_pattern(word: str) -> str:
     return re.escape(word) if has_cjk(word) else f"(?<![a-z0-9]){re.escape(word)}(?![a-z0-9])"
 
 
-def keywords(line: Column, words: tuple[str, ...]) -> Column:
-    """The words, in list order, that stand in the line: one filter over a constant list, so that plans stay small."""
-    table = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(keyword_pattern(w)).alias("p")) for w in words])
-    return F.transform(F.filter(table, lambda k: F.contains(line, k["w"]) & F.regexp_like(line, k["p"])), lambda k: k["w"])
+def keywords(line: Column, held: Column) -> Column:
+    """Those of the words that stand in the line, in list order."""
+    return F.transform(F.filter(held, lambda k: F.contains(line, k["w"]) & F.regexp_like(line, k["p"])), lambda k: k["w"])
 
 
 def digits(text: Column) -> Column:
@@ -76,88 +110,105 @@ def part_number(text: Column) -> Column:
     return (F.length(digits(text)) > 6) & ~F.contains(text, F.lit("."))
 
 
-def urls(lines: Column) -> Column:
-    def of(line: Column) -> Column:
-        found = F.transform(_hits(line, L.URL_PATTERNS), strip)
-        return F.transform(F.filter(found, lambda m: ~company_abbreviation(m)), lambda m: F.substring(m, 1, 80))
-
-    return _per_line(lines, of)
+#: What every match of the patterns holds one of.
+IN_URL = ("http", "www.", *(f".{x}" for x in ("com", "cn", "net", "org", "io", "co", "cc", "biz", "info", "shop", "store", "online", "xyz", "top", "vip", "club", "site", "me", "us")))
+IN_PHONE = ("+", "tel", "phone", "mobile", "电话", "手机", "contact")
+IN_QQ = ("qq", "扣扣")
+IN_PRICE = ("$", "￥", "¥", "usd", "eur", "gbp", "rmb", "cny", "price")
+IN_PROMO = ("free", "special", "hot", "best")
+IN_OVERLAY = ("faster", "fastdelivery", "warehouses", "seller", "dealer", "stockist", "uploaded", "genuine", "question", "fitment")
 
 
 def _numbers(line: Column, patterns: tuple[str, ...]) -> Column:
     return F.filter(_hits(line, patterns), lambda m: ~placeholder(m))
 
 
-def emails(lines: Column) -> Column:
-    return _per_line(lines, lambda x: F.transform(_hits(x, L.EMAIL_PATTERNS), lambda m: F.substring(m, 1, 80)))
+def urls(lines: Lines) -> Column:
+    return _per_line(lines, IN_URL, lambda x, _: F.filter(_hits(x, L.URL_PATTERNS), lambda m: ~company_abbreviation(m)))
+
 
+def emails(lines: Lines) -> Column:
+    return _per_line(lines, ("@",), lambda x, _: _hits(x, L.EMAIL_PATTERNS))
 
-def phones(lines: Column) -> Column:
-    return _per_line(lines, lambda x: _numbers(x, L.PHONE_PATTERNS))
 
+def phones(lines: Lines) -> Column:
+    return _per_line(lines, IN_PHONE, lambda x, _: _numbers(x, L.PHONE_PATTERNS))
 
-def us_phones(lines: Column) -> Column:
-    return _per_line(lines, lambda x: _numbers(x, L.US_PHONE_PATTERNS))
 
+def us_phones(lines: Lines) -> Column:
+    return _per_line(lines, (), lambda x, _: _numbers(x, L.US_PHONE_PATTERNS), digits=True)
 
-def weak_phones(lines: Column) -> Column:
-    return _per_line(lines, lambda x: _numbers(x, L.PHONE_WEAK_PATTERNS))
 
+def weak_phones(lines: Lines) -> Column:
+    return _per_line(lines, (), lambda x, _: _numbers(x, L.PHONE_WEAK_PATTERNS), digits=True)
 
-def qq_numbers(lines: Column) -> Column:
-    return _per_line(lines, lambda x: _hits(x, L.QQ_PATTERNS))
 
+def qq_numbers(lines: Lines) -> Column:
+    return _per_line(lines, IN_QQ, lambda x, _: _hits(x, L.QQ_PATTERNS))
 
-def contacts(lines: Column) -> Column:
+
+def contacts(lines: Lines) -> Column:
     """E-mail, strong and US telephone, QQ numbers, then contact words, line by line."""
+    return _per_line(
+        lines, ("@", *IN_PHONE, *IN_QQ),
+        lambda x, held: F.concat(_hits(x, L.EMAIL_PATTERNS), _numbers(x, L.PHONE_PATTERNS), _numbers(x, L.US_PHONE_PATTERNS), _hits(x, L.QQ_PATTERNS), keywords(x, held)),
+        L.CONTACT_KEYWORDS, digits=True,
+    )
 
-    def of(x: Column) -> Column:
-        mail = F.transform(_hits(x, L.EMAIL_PATTERNS), lambda m: F.substring(m, 1, 80))
-        return F.concat(mail, _numbers(x, L.PHONE_PATTERNS), _numbers(x, L.US_PHONE_PATTERNS), _hits(x, L.QQ_PATTERNS), keywords(x, L.CONTACT_KEYWORDS))
 
-    return _per_line(lines, of)
+def contact_weak(lines: Lines) -> Column:
+    return _per_line(lines, (), lambda x, held: F.concat(_numbers(x, L.PHONE_WEAK_PATTERNS), keywords(x, held)), L.CONTACT_WEAK_KEYWORDS, digits=True)
 
 
-def contact_weak(lines: Column) -> Column:
-    return _per_line(lines, lambda x: F.concat(_numbers(x, L.PHONE_WEAK_PATTERNS), keywords(x, L.CONTACT_WEAK_KEYWORDS)))
+def prices(lines: Lines) -> Column:
+    return _per_line(lines, IN_PRICE, lambda x, _: F.filter(_hits(x, L.PRICE_PATTERNS, "(?iU)"), lambda m: ~part_number(m)))
 
 
-def prices(lines: Column) -> Column:
-    return _per_line(lines, lambda x: F.filter(_hits(x, L.PRICE_PATTERNS, "(?iU)"), lambda m: ~part_number(m)))
+#: Promotional phrases with what may stand beside them.
+GUARDED = tuple(f"(?<![a-z0-9]){p}(?![a-z0-9])" for p in L.PROMO_PHRASES)
 
 
-def promo_phrases(lines: Column) -> Column:
-    return _per_line(lines, lambda x: _hits(x, tuple(f"(?<![a-z0-9]){p}(?![a-z0-9])" for p in L.PROMO_PHRASES)))
+def promo_phrases(lines: Lines) -> Column:
+    return _per_line(lines, IN_PROMO, lambda x, _: _hits(x, GUARDED))
 
 
-def promos(lines: Column) -> Column:
-    return _per_line(lines, lambda x: F.concat(_hits(x, tuple(f"(?<![a-z0-9]){p}(?![a-z0-9])" for p in L.PROMO_PHRASES)), keywords(x, L.PROMO_KEYWORDS)))
+def promos(lines: Lines) -> Column:
+    return _per_line(lines, IN_PROMO, lambda x, held: F.concat(_hits(x, GUARDED), keywords(x, held)), L.PROMO_KEYWORDS)
 
 
-def promo_weak(lines: Column) -> Column:
+def promo_weak(lines: Lines) -> Column:
     ignored = "|".join(re.escape(p) for p in L.PROMO_IGNORE_PHRASES)
-    return _per_line(lines, lambda x: F.when(F.regexp_like(x, F.lit(ignored)), F.expr(NO_STRINGS)).otherwise(keywords(x, L.PROMO_WEAK_KEYWORDS)))
+    return _per_line(lines, (), lambda x, held: F.when(F.regexp_like(x, F.lit(ignored)), F.expr(NO_STRINGS)).otherwise(keywords(x, held)), L.PROMO_WEAK_KEYWORDS)
 
 
-def overlays(lines: Column) -> Column:
-    return _per_line(lines, lambda x: _hits(x, L.OVERLAY_PATTERNS))
+def overlays(lines: Lines) -> Column:
+    return _per_line(lines, IN_OVERLAY, lambda x, _: _hits(x, L.OVERLAY_PATTERNS))
 
 
-def overlays_weak(lines: Column) -> Column:
-    return _per_line(lines, lambda x: _hits(x, L.OVERLAY_WEAK_PATTERNS))
+def overlays_weak(lines: Lines) -> Column:
+    return _per_line(lines, ("warehouse", "catalog"), lambda x, _: _hits(x, L.OVERLAY_WEAK_PATTERNS))
 
 
 def words_of(words: tuple[str, ...]):
-    return lambda lines: _per_line(lines, lambda x: keywords(x, words))
+    return lambda lines: _per_line(lines, (), keywords, words)
 
 
 SIGNALS = {
     "urls": urls, "contacts": contacts, "contact_weak": contact_weak, "prices": prices, "promos": promos, "promo_weak": promo_weak,
     "ecommerce": words_of(L.PLATFORM_KEYWORDS), "watermarks": words_of(L.MARK_KEYWORDS), "watermark_weak": words_of(L.MARK_WEAK_KEYWORDS),
-    "marketing_overlay": overlays, "marketing_weak": overlays_weak, "keep_terms": words_of(L.KEEP_LEXICON), "texts": texts,
+    "marketing_overlay": overlays, "marketing_weak": overlays_weak, "keep_terms": words_of(L.KEEP_LEXICON),
 }
 
 
-def analyze(lines: Column) -> Column:
-    """All thirteen lists as one struct."""
-    return F.struct(*[f(lines).alias(k) for k, f in SIGNALS.items()])
+def analyzed(items: DataFrame, lines: str = "lines", prefix: str = "_a_") -> DataFrame:
+    """items with a column for each of the thirteen lists, and the names of what was needed for them.
+
+    Columns of their own, not one expression: Catalyst then keeps each step in a projection that runs once.
+    """
+    n, w = f"{prefix}normal", f"{prefix}whole"
+    d = items.withColumn(n, normalized(F.col(lines))).withColumn(w, joined(F.col(n)))
+    text = Lines(F.col(n), F.col(w))
+    return d.withColumns({f"{prefix}{k}": f(text) for k, f in SIGNALS.items()} | {f"{prefix}texts": texts(F.col(lines))}).drop(n, w)
+
+
+ALL = (*SIGNALS, "texts")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftstone.operators.rows import bounds, range_of
+
 
 def order_of(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
@@ -19,33 +21,41 @@ def first(rows: DataFrame, n: int, key: str) -> DataFrame:
     return rows.orderBy(key).limit(n)
 
 
-def cap_per_class(rows: DataFrame, label: str, caps: dict[int, int], key: str, seed: int = 42) -> DataFrame:
-    """At most caps[c] rows of class c, those of least hash."""
+def cap_per_class(rows: DataFrame, label: str, caps: dict[int, int], key: str, seed: int = 42, salts: int = 32) -> DataFrame:
+    """At most caps[c] rows of class c, those of least hash; rows of other classes go.
+
+    Each of many parts of a class keeps its least rows first, so no task orders a whole class.
+    """
     limit = F.coalesce(*[F.when(F.col(label) == c, F.lit(n)) for c, n in caps.items()])
-    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(label).orderBy(order_of(key, seed), key)))
-    return ranked.filter(F.col("_r") <= limit).drop("_r")
+    by = [order_of(key, seed), F.col(key)]
+    some = rows.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(salts)))
+    some = some.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_s").orderBy(*by))).filter(F.col("_r") <= limit)
+    ranked = some.withColumn("_r", F.row_number().over(Window.partitionBy(label).orderBy(*by)))
+    return ranked.filter(F.col("_r") <= limit).select(*rows.columns)
 
 
 def split(rows: DataFrame, share: float, key: str, seed: int = 42) -> DataFrame:
-    """Adds part: "valid" for about `share` of the rows, by hash, else "train"."""
-    bucket = F.conv(F.substring(order_of(key, seed), 1, 7), 16, 10).cast("long")
-    return rows.withColumn("part", F.when(bucket < int(share * 16**7), "valid").otherwise("train"))
+    """Adds part: "valid" for the rows of least hash, a `share` of all and at least one, else "train"."""
+    n = max(1, int(share * rows.count()))
+    edge = sample(rows.select(key), n, key, seed).agg(F.max(F.struct(order_of(key, seed).alias("h"), F.col(key).alias("k"))).alias("e"))
+    here = F.struct(order_of(key, seed).alias("h"), F.col(key).alias("k"))
+    return rows.crossJoin(F.broadcast(edge)).withColumn("part", F.when(here <= F.col("e"), "valid").otherwise("train")).drop("e")  # one row
 
 
 def shards(rows: DataFrame, n: int, key: str) -> DataFrame:
-    """Adds shard: contiguous blocks of ceil(rows / n) rows in key order.
+    """Adds shard: contiguous blocks of ceil(rows / n) rows in key order; rows of equal keys in any order.
 
-    Ranks come from counts of ranges of the key, then from order within a range, so no task holds all rows.
+    Ranks come from counts of ranges of the key, whose bounds are read once, then from order within a
+    range: no task holds all rows, and every run gives the same shards.
     """
-    total = rows.count()
-    per = max(1, -(-total // n))
-    ranged = rows.repartitionByRange(max(n, 8), key).withColumn("_p", F.spark_partition_id())
-    inner = F.row_number().over(Window.partitionBy("_p").orderBy(key))
-    numbered = ranged.withColumn("_i", inner)
-    sizes = {r["_p"]: r["n"] for r in ranged.groupBy("_p").agg(F.count("*").alias("n")).collect()}  # a row a partition
+    per = max(1, -(-rows.count() // n))
+    parts = max(n, 8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = rows.withColumn("_p", range_of(F.col(key), bounds(rows, key, parts)))
+    sizes = {r["_p"]: r["n"] for r in ranged.groupBy("_p").agg(F.count("*").alias("n")).collect()}  # a row a range
     before, at = [], 0
     for p in sorted(sizes):
         before += [F.lit(p), F.lit(at)]
         at += sizes[p]
     offset = F.element_at(F.create_map(*before), F.col("_p")) if before else F.lit(0)
-    return numbered.withColumn("shard", F.floor((F.col("_i") - 1 + offset) / per).cast("int")).drop("_p", "_i")
+    numbered = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
+    return numbered.withColumn("shard", F.floor((F.col("_i") - 1 + offset) / per).cast("int")).select(*rows.columns, "shard")

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 def pack_bits(values: Column) -> Column:
     """Bit i, most significant first, is set where value i exceeds the median of the 64 values."""
-    s = F.array_sort(values)
-    median = (F.element_at(s, 32) + F.element_at(s, 33)) / 2
-    return F.aggregate(values, F.lit(0).cast("long"), lambda h, v: F.call_function("shiftleft", h, F.lit(1)).bitwiseOR(F.when(v > median, F.lit(1)).otherwise(F.lit(0)).cast("long")))
+    s = F.sort_array(values)
+    # The median is the one element of an array, so that it is bound once and not worked out again for each bit.
+    median = F.array((F.element_at(s, 32) + F.element_at(s, 33)) / 2)
+    bits = lambda m: F.aggregate(
+        values, F.lit(0).cast("long"), lambda h, v: F.call_function("shiftleft", h, F.lit(1)).bitwiseOR(F.when(v > m, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    )
+    return F.element_at(F.transform(median, bits), 1)
 
 
 def distance(a: Column, b: Column) -> Column:

@@ -14,7 +14,8 @@ from siftstone.operators import evaluate as E
 from siftstone.operators import rows as R
 from siftstone.operators import sampling as S
 from siftstone.operators import similarity as H
-from siftstone.plans.standin import SQL, hashes, items, lines, planted_library, table
+from siftstone.plans.standin import SQL, hashes, items, lines, planted_library, spread_out, table
+from siftstone.sources.scratch import once
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -26,17 +27,26 @@ def _add(name: str, query, sql: str | None = None) -> None:
         ORACLE[name] = sql
 
 
-# ---- signals in text: sorted distinct hits of each document that has any
+# ---- signals in text: distinct hits, in order, of each document that has any
 
 
 def _signal(name: str, expression, hits: str) -> None:
     """hits: SQL for the list of hits in a line."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = lines(table(spark, sf_dir, "documents")).select("doc_id", F.array_sort(expression(F.col("lines"))).alias("x"))
+        prepared = lines(spread_out(table(spark, sf_dir, "documents"))).withColumn("n", T.normalized(F.col("lines"))).withColumn("w", T.joined(F.col("n")))
+        found = prepared.select("doc_id", expression(T.Lines(F.col("n"), F.col("w"))).alias("x"))
         return found.filter(F.size("x") > 0).select("doc_id", F.array_join("x", "|").alias("hits"))
 
-    _add(name, query, f"WITH {SQL}, m AS (SELECT doc_id, unnest({hits}) AS x FROM lin) SELECT doc_id, string_agg(x, '|' ORDER BY x) AS hits FROM (SELECT DISTINCT doc_id, x FROM m WHERE x IS NOT NULL) GROUP BY doc_id")
+    _add(name, query, f"WITH {SQL}, {_ordered('m', hits)} SELECT doc_id, string_agg(x, '|' ORDER BY place) AS hits FROM m GROUP BY doc_id")
+
+
+def _ordered(name: str, hits: str) -> str:
+    """SQL for name(doc_id, x, place): distinct hits with the place of the first."""
+    return (
+        f"{name}_all AS (SELECT doc_id, rn, unnest(h) AS x, generate_subscripts(h, 1) AS i FROM (SELECT doc_id, rn, {hits} AS h FROM lin)), "
+        f"{name} AS (SELECT doc_id, x, min(rn * 100000 + i) AS place FROM {name}_all WHERE x IS NOT NULL GROUP BY doc_id, x)"
+    )
 
 
 def _quoted(x: str) -> str:
@@ -47,9 +57,13 @@ def _re2(pattern: str) -> str:
     return _quoted(pattern.replace(r"[\w\-]", r"[\p{L}\p{N}_\-]").replace(r"[\w.+-]", r"[\p{L}\p{N}_.+-]").replace(r"[\w-]", r"[\p{L}\p{N}_-]"))
 
 
+_SPACE = "regexp_replace(m, '^\\s+|\\s+$', '', 'g')"
+
+
 def _all(patterns, flags: str = "") -> str:
+    """All matches, stripped, at most 80 characters of each."""
     each = [f"regexp_extract_all(line, {_re2(flags + p)})" for p in patterns]
-    return each[0] if len(each) == 1 else "list_concat(" + ", ".join(each) + ")" if len(each) == 2 else "flatten([" + ", ".join(each) + "])"
+    return f"list_transform({each[0] if len(each) == 1 else 'flatten([' + ', '.join(each) + '])'}, lambda m: substr({_SPACE}, 1, 80))"
 
 
 def _words(words) -> str:
@@ -64,7 +78,6 @@ _REAL = (
     f"length({_DIGITS}) >= 7 AND {_DIGITS} NOT IN ('1234567890', '0123456789', '9876543210', '0987654321') AND len(list_distinct(string_split({_DIGITS}, ''))) > 2"
     f" AND NOT contains('0123456789', {_DIGITS}) AND NOT contains('9876543210', {_DIGITS})"
 )
-_SPACE = "regexp_replace(m, '^\\s+|\\s+$', '', 'g')"
 _COMPANY = "regexp_extract(regexp_replace(m, '[/.]+$', ''), '^(.*)\\.[^.]*$', 1) IN (" + ", ".join(_quoted(x) for x in L.COMPANY_LABELS) + ")"
 
 
@@ -72,8 +85,8 @@ def _numbers(patterns) -> str:
     return f"list_filter({_all(patterns)}, lambda m: {_REAL})"
 
 
-_URLS = f"list_transform(list_filter(list_transform({_all(L.URL_PATTERNS)}, lambda m: {_SPACE}), lambda m: NOT {_COMPANY}), lambda m: substr(m, 1, 80))"
-_EMAILS = f"list_transform({_all(L.EMAIL_PATTERNS)}, lambda m: substr(m, 1, 80))"
+_URLS = f"list_filter({_all(L.URL_PATTERNS)}, lambda m: NOT {_COMPANY})"
+_EMAILS = _all(L.EMAIL_PATTERNS)
 _CONTACTS = f"flatten([{_EMAILS}, {_numbers(L.PHONE_PATTERNS)}, {_numbers(L.US_PHONE_PATTERNS)}, {_all(L.QQ_PATTERNS)}, {_words(L.CONTACT_KEYWORDS)}])"
 _PRICES = f"list_filter({_all(L.PRICE_PATTERNS, '(?i)')}, lambda m: NOT (length({_DIGITS}) > 6 AND NOT contains(m, '.')))"
 _PHRASES = "flatten([" + ", ".join(f"regexp_extract_all(line, {_quoted('(?:^|[^a-z0-9])(' + p + ')(?:[^a-z0-9]|$)')}, 1)" for p in L.PROMO_PHRASES) + "])"
@@ -104,26 +117,34 @@ for _k, _f, _w in (("t22_platforms", "ecommerce", L.PLATFORM_KEYWORDS), ("t23_ma
 
 _add(
     "t1_usable_lines",
-    lambda s, d: lines(table(s, d, "documents")).select("doc_id", F.size(T.usable(F.col("lines"))).cast("long").alias("n")),
+    lambda s, d: lines(spread_out(table(s, d, "documents"))).select("doc_id", F.size(T.usable(F.col("lines"))).cast("long").alias("n")),
     f"WITH {SQL} SELECT d.doc_id, count(lin.doc_id) AS n FROM documents d LEFT JOIN lin ON lin.doc_id = d.doc_id GROUP BY d.doc_id",
 )
 _add(
     "t3_texts",
-    lambda s, d: lines(table(s, d, "documents")).select("doc_id", F.array_join(T.texts(F.col("lines")), " | ").alias("shown")),
+    lambda s, d: lines(spread_out(table(s, d, "documents"))).select("doc_id", F.array_join(T.texts(F.col("lines")), " | ").alias("shown")),
     f"WITH {SQL} SELECT d.doc_id, coalesce(string_agg(substr(raw, 1, 120), ' | ' ORDER BY rn), '') AS shown FROM documents d LEFT JOIN lin ON lin.doc_id = d.doc_id GROUP BY d.doc_id",
 )
 _add(
     "t27_analysis",
-    lambda s, d: lines(table(s, d, "documents")).select("doc_id", T.analyze(F.col("lines")).alias("a")).select("doc_id", *[F.size(F.col("a")[k]).cast("long").alias(k) for k in T.SIGNALS]),
+    lambda s, d: T.analyzed(lines(spread_out(table(s, d, "documents")))).select("doc_id", *[F.size(f"_a_{k}").cast("long").alias(k) for k in T.ALL]),
     f"WITH {SQL}, " + ", ".join(f"n_{k} AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest({v}) AS x FROM lin) GROUP BY doc_id)" for k, v in _HITS.items())
     + ", n_texts AS (SELECT doc_id, count(*) AS n FROM lin GROUP BY doc_id) SELECT d.doc_id, " + ", ".join(f"coalesce(n_{k}.n, 0) AS {k}" for k in [*_HITS, "texts"])
     + " FROM documents d " + " ".join(f"LEFT JOIN n_{k} ON n_{k}.doc_id = d.doc_id" for k in [*_HITS, "texts"]),
 )
 
+# ---- hashes
+
+_BITS = """hh AS (SELECT vec_id, list_sum([CASE WHEN embedding[i] > med THEN (1::HUGEINT << (64 - i)::HUGEINT) ELSE 0::HUGEINT END FOR i IN range(1, 65)]) AS u FROM (
+  SELECT vec_id, embedding, (list_sort(embedding)[32]::DOUBLE + list_sort(embedding)[33]::DOUBLE) / 2 AS med FROM embeddings))"""
+_LIBRARY = f"""{_BITS}, lib AS (SELECT DISTINCT xor(u::HUGEINT, CASE vec_id % 30 WHEN 10 THEN 1 WHEN 20 THEN 3 ELSE 0 END::HUGEINT) AS l FROM hh WHERE vec_id % 10 = 0),
+libhit AS (SELECT vec_id, 1 - min(bit_count(xor(u::HUGEINT, l))) / 64.0::DOUBLE AS near FROM hh, lib WHERE bit_count(xor(u::HUGEINT, l)) <= 1 GROUP BY vec_id)"""
+
 # ---- verdicts
 
 _ANY = {k: f"len({v}) > 0" for k, v in _HITS.items()}
 _DECIDED = f"""{SQL},
+{_LIBRARY},
 sig AS (SELECT doc_id, {', '.join(f'bool_or({v}) AS {k}' for k, v in _ANY.items())}, sum(length(substr(raw, 1, 120))) AS chars FROM lin GROUP BY doc_id),
 ruled AS (
   SELECT i.*, promo_weak, contact_weak, urls, CASE
@@ -143,11 +164,11 @@ refined AS (
     CASE WHEN decision = 'MOVE' THEN rule WHEN prob >= 0.3 THEN 'model' WHEN prob >= 0.15 THEN 'review' ELSE rule END AS rule,
     CASE WHEN decision = 'MOVE' THEN score WHEN prob >= 0.3 THEN 1.0 WHEN prob >= 0.15 THEN 0.5 ELSE score END AS score FROM decided),
 libbed AS (
-  SELECT * REPLACE (CASE WHEN decision <> 'MOVE' AND doc_id % 23 = 5 THEN 'MOVE' ELSE decision END AS decision,
-    CASE WHEN decision <> 'MOVE' AND doc_id % 23 = 5 THEN 'library' ELSE rule END AS rule, CASE WHEN decision <> 'MOVE' AND doc_id % 23 = 5 THEN 1.0 ELSE score END AS score) FROM refined),
-grouped AS (SELECT md5 AS g, bool_or(decision = 'MOVE') AS any_move, count(*) AS n, min(CASE WHEN decision = 'MOVE' THEN rule END) AS r FROM libbed WHERE md5 IS NOT NULL GROUP BY md5),
+  SELECT refined.* REPLACE (CASE WHEN decision <> 'MOVE' AND near IS NOT NULL THEN 'MOVE' ELSE decision END AS decision,
+    CASE WHEN decision <> 'MOVE' AND near IS NOT NULL THEN 'library' ELSE rule END AS rule, CASE WHEN decision <> 'MOVE' AND near IS NOT NULL THEN 1.0 ELSE score END AS score) FROM refined LEFT JOIN libhit ON vec_id = doc_id),
+grouped AS (SELECT md5 AS g, bool_or(decision = 'MOVE') AS any_move, count(*) AS n FROM libbed WHERE md5 IS NOT NULL GROUP BY md5),
 spread AS (
-  SELECT l.* REPLACE (CASE WHEN any_move AND n > 1 THEN 'MOVE' ELSE decision END AS decision, CASE WHEN any_move AND n > 1 AND decision <> 'MOVE' THEN r ELSE rule END AS rule,
+  SELECT l.* REPLACE (CASE WHEN any_move AND n > 1 THEN 'MOVE' ELSE decision END AS decision, CASE WHEN any_move AND n > 1 AND decision <> 'MOVE' THEN 'duplicate' ELSE rule END AS rule,
     CASE WHEN any_move AND n > 1 THEN 1.0 ELSE score END AS score), coalesce(any_move AND n > 1 AND decision <> 'MOVE', false) AS changed FROM libbed l LEFT JOIN grouped ON g = md5),
 final AS (
   SELECT s.* REPLACE (coalesce(want, decision) AS decision, CASE WHEN want <> decision THEN CASE want WHEN 'MOVE' THEN 'user_move' ELSE 'user_keep' END ELSE rule END AS rule,
@@ -168,12 +189,14 @@ def refined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def libbed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = refined(spark, sf_dir).withColumn("library_hit", F.col("doc_id") % 23 == 5).withColumn("library_similarity", F.lit(1.0))
+    h = hashes(spark, sf_dir)
+    near = H.match_library(h, planted_library(h), "vec_id").withColumnRenamed("vec_id", "doc_id")
+    d = refined(spark, sf_dir).join(near, "doc_id", "left").withColumn("library_hit", F.col("library_similarity").isNotNull())
     return D.refine_by_library(d)
 
 
 def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.propagate(libbed(spark, sf_dir))
+    return R.propagate(once(libbed(spark, sf_dir).drop("lines", "qr")))
 
 
 def wishes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +225,17 @@ _add("f19_library", _pick(libbed, *_THREE), f"WITH {_DECIDED} SELECT doc_id, dec
 _add("w1_a6_propagate", _pick(spread, *_THREE, "changed"), f"WITH {_DECIDED} SELECT doc_id, decision, rule, score, changed FROM spread")
 _add("j3_override", _pick(final, *_THREE, "overridden"), f"WITH {_DECIDED} SELECT doc_id, decision, rule, score, overridden FROM final")
 _add("p16_labels", lambda s, d: final(s, d).select("doc_id", D.label(F.col("rule")).alias("label")), f"WITH {_DECIDED} SELECT doc_id, CASE rule " + " ".join(f"WHEN {_quoted(k)} THEN {_quoted(v)}" for k, v in L.RULES.items()) + " END AS label FROM final")
-_add("f15_review_moves", lambda s, d: D.decide(items(s, d), review_moves=True).select(*_THREE), f"WITH {_DECIDED} SELECT doc_id, CASE decision WHEN 'REVIEW' THEN 'MOVE' ELSE decision END AS decision, rule, CASE decision WHEN 'REVIEW' THEN 1.0 ELSE score END AS score FROM decided")
+_add("f15_review_moves", lambda s, d: D.decide(items(s, d), review_moves=True).select(*_THREE), f"WITH {_DECIDED} SELECT doc_id, CASE decision WHEN 'REVIEW' THEN 'MOVE' ELSE decision END AS decision, CASE decision WHEN 'REVIEW' THEN 'unsure' ELSE rule END AS rule, CASE decision WHEN 'REVIEW' THEN 1.0 ELSE score END AS score FROM decided")
+_REPR = """CASE WHEN contains(x, '''') AND NOT contains(x, '"') THEN '"' || x || '"' ELSE '''' || x || '''' END"""
+_FIRSTS = {"url": "urls", "contact": "contacts", "price": "prices", "promo": "promos", "ecommerce": "ecommerce", "watermark": "watermarks", "overlay": "marketing_overlay"}
+_add(
+    "t28_evidence",
+    lambda s, d: once(decided(s, d).drop("lines", "analysis")).filter(F.col("rule").isin(*_FIRSTS, "tiny", "logo")).select("doc_id", F.array_join("evidence", "; ").alias("evidence")),
+    f"WITH {_DECIDED}, " + ", ".join(_ordered(f"o_{k}", _HITS[v]) for k, v in _FIRSTS.items())
+    + ", said AS (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS rule, {_quoted(L.EVIDENCE[k])} || '[' || string_agg({_REPR}, ', ' ORDER BY place) || ']' AS evidence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS r FROM o_{k}) WHERE r <= 3 GROUP BY doc_id" for k, v in _FIRSTS.items())
+    + ") SELECT d.doc_id, CASE d.rule WHEN 'tiny' THEN " + _quoted(L.EVIDENCE["tiny"]) + " || w || 'x' || h WHEN 'logo' THEN " + _quoted(L.EVIDENCE["logo"]) + " || ncolors16 || '）' ELSE evidence END AS evidence "
+    "FROM decided d LEFT JOIN said ON said.doc_id = d.doc_id AND said.rule = d.rule WHERE d.rule IN ('tiny', 'logo', " + ", ".join(f"'{k}'" for k in _FIRSTS) + ")",
+)
 _add("a1_counts", lambda s, d: E.summary(final(s, d)).drop("by_rule"), f"WITH {_DECIDED} SELECT count(*) AS total, count(*) FILTER (decision = 'MOVE') AS moved, count(*) FILTER (decision = 'KEEP') AS keep, count(*) FILTER (decision = 'REVIEW') AS review FROM final")
 _add("a2_o4_moves_by_rule", lambda s, d: E.moves_by_rule(final(s, d)), f"WITH {_DECIDED} SELECT rule, count(*) AS n FROM final WHERE decision = 'MOVE' GROUP BY rule")
 _add("o4_top_rules", lambda s, d: E.moves_by_rule(final(s, d)).orderBy(F.desc("n"), "rule").limit(3), f"WITH {_DECIDED} SELECT rule, count(*) AS n FROM final WHERE decision = 'MOVE' GROUP BY rule ORDER BY n DESC, rule LIMIT 3")
@@ -226,14 +259,11 @@ _add("u3_only_theirs", lambda s, d: _named(s, d).subtract(_moved(s, d)), f"WITH
 
 # ---- hashes
 
-_BITS = """hh AS (SELECT vec_id, list_sum([CASE WHEN embedding[i] > med THEN (1::HUGEINT << (64 - i)::HUGEINT) ELSE 0::HUGEINT END FOR i IN range(1, 65)]) AS u FROM (
-  SELECT vec_id, embedding, (list_sort(embedding)[32]::DOUBLE + list_sort(embedding)[33]::DOUBLE) / 2 AS med FROM embeddings))"""
 _add("p14_phash", lambda s, d: hashes(s, d).select("vec_id", H.unsigned(F.col("phash")).cast("string").alias("u")), f"WITH {_BITS} SELECT vec_id, CAST(u AS DECIMAL(38,0))::VARCHAR AS u FROM hh")
 _add(
     "j7_library_match",
     lambda s, d: H.match_library(hashes(s, d), planted_library(hashes(s, d)), "vec_id"),
-    f"WITH {_BITS}, lib AS (SELECT DISTINCT xor(u::HUGEINT, CASE vec_id % 30 WHEN 10 THEN 1 WHEN 20 THEN 3 ELSE 0 END::HUGEINT) AS l FROM hh WHERE vec_id % 10 = 0) "
-    "SELECT vec_id, 1 - min(bit_count(xor(u::HUGEINT, l))) / 64.0::DOUBLE AS library_similarity FROM hh, lib WHERE bit_count(xor(u::HUGEINT, l)) <= 1 GROUP BY vec_id",
+    f"WITH {_LIBRARY} SELECT vec_id, near AS library_similarity FROM libhit",
 )
 
 # ---- logs, sets, samples
@@ -276,7 +306,7 @@ _add(
 _add(
     "o7_split",
     lambda s, d: S.split(table(s, d, "documents").select("doc_id"), 0.15, "doc_id"),
-    f"SELECT doc_id, CASE WHEN ('0x' || substr(md5('42:' || doc_id), 1, 7))::BIGINT < {int(0.15 * 16**7)} THEN 'valid' ELSE 'train' END AS part FROM documents",
+    "SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) <= (SELECT greatest(1, floor(0.15 * count(*))) FROM documents) THEN 'valid' ELSE 'train' END AS part FROM documents",
 )
 _add(
     "o9_shards",

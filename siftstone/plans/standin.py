@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_out(rows: DataFrame) -> DataFrame:
+    """Rows of a table of fewer splits than there are cores are dealt out; larger tables stay as they are read."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, lines, md5): the document's lines behind its planted one."""
     planted = F.try_element_at(F.array(*[F.lit(p) for p in PHRASES]), (F.pmod("doc_id", F.lit(K)) + 1).cast("int"))
@@ -36,7 +42,7 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_out(table(spark, sf_dir, "documents"))
     with_lines = lines(docs)
     name = F.concat(F.lit("img_"), d.cast("string"), F.lit(".jpg"))
     return with_lines.select(

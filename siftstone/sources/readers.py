@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.functions import lexicon as L
@@ -16,11 +16,14 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 def images(spark: SparkSession, folder: str, recursive: bool = True, extensions: tuple[str, ...] = L.IMAGE_EXTENSIONS, skipped: tuple[str, ...] = L.SKIPPED_FOLDERS) -> DataFrame:
     """(path, filename, bytes): files of the wanted endings outside of skipped folders, in order of path; contents aren't read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder if recursive else f"{folder}/*")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     ending = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
     below = F.expr(f"substring(path, {len(folder.rstrip('/')) + 1} + greatest(locate('{folder.rstrip('/')}', path) - 1, 0))")
     folders = F.slice(F.split(F.lower(below), "/"), 1, F.greatest(F.size(F.split(below, "/")) - 1, F.lit(0)))
-    return found.filter(ending.isin(*extensions)).filter(~F.exists(folders, lambda d: d.isin(*skipped))).select("path", basename(F.col("path")).alias("filename"), F.col("length").alias("bytes")).orderBy("path")
+    depth = F.size(F.split(F.regexp_replace(below, "^/", ""), "/")) - 1
+    found = found if recursive else found.filter(depth == 0)
+    found = found.filter(~F.exists(folders, lambda d: d.isin(*skipped))) if skipped else found
+    return found.filter(ending.isin(*extensions)).select("path", basename(F.col("path")).alias("filename"), F.col("length").alias("bytes")).orderBy("path")
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -43,9 +46,49 @@ def user_verdicts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, key: str | None = None, bad: str = "DROPMALFORMED") -> DataFrame:
-    """Rows of a JSON log; with a key, the last row of each. bad: DROPMALFORMED skips bad lines, FAILFAST raises on one."""
+    """Rows of a JSON log; with a key, the last row of each. bad: DROPMALFORMED skips bad lines, FAILFAST raises on one, EMPTY empties the whole.
+
+    Rows without a key (null or empty) go.
+    """
+    if bad == "EMPTY":
+        lines = spark.read.text(path).filter("trim(value) <> ''")
+        parsed = lines.select("*", F.from_json("value", f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"), "_metadata")
+        broken = not parsed.filter("r._corrupt_record IS NOT NULL").isEmpty()
+        rows = parsed.filter(F.lit(not broken)).select("r.*", "_metadata").drop("_corrupt_record")
+        return rows.drop("_metadata") if key is None else keep_last(_numbered(rows).drop("_metadata").filter(F.col(key) != ""), key, "seq").drop("seq", "_first")
     rows = spark.read.schema(schema).option("mode", bad).json(path)
-    return rows if key is None else keep_last(_numbered(rows), key, "seq").drop("seq", "_first")
+    return rows if key is None else keep_last(_numbered(rows).filter(F.col(key) != ""), key, "seq").drop("seq", "_first")
+
+
+def row_log(spark: SparkSession, path: str, schema: str, path_key: str = "_path", name_key: str = "文件名") -> DataFrame:
+    """Rows of the report's log with place: the last row of each path (or name, if it has no path) stands where the first stood.
+
+    Bad and blank lines are skipped; rows with neither come first, in their order.
+    """
+    rows = _numbered(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path))
+    known = F.coalesce(F.when(F.col(path_key) != "", F.col(path_key)), F.when(F.col(name_key) != "", F.col(name_key)))
+    r = rows.withColumn("_key", known)
+    keyed = keep_last(r, "_key", "seq").drop("seq", "_key").withColumn("place", F.struct(F.lit(1).alias("keyed"), F.col("_first").alias("seq"))).drop("_first")
+    rest = r.filter("_key IS NULL").withColumn("place", F.struct(F.lit(0).alias("keyed"), F.col("seq"))).drop("seq", "_key")
+    return rest.unionByName(keyed.select(*rest.columns))
+
+
+def cached_lines(spark: SparkSession, path: str, bad: str = "EMPTY") -> DataFrame:
+    """(path, lines) of a cache of recognized lines; each line is a pair [text, confidence]."""
+    raw = json_lines(spark, path, "path string, lines array<array<string>>", "path", bad)
+    pair = lambda x: F.struct(F.try_element_at(x, F.lit(1)).alias("text"), F.try_element_at(x, F.lit(2)).try_cast("double").alias("conf"))
+    return raw.select("path", parsed_lines(F.transform(F.coalesce("lines", F.expr("CAST(array() AS array<array<string>>)")), pair)).alias("lines"))
+
+
+def parsed_lines(lines: Column) -> Column:
+    """Recognized lines as they are kept: stripped, without empty texts and broken pairs."""
+    kept = F.transform(lines, lambda x: F.struct(F.regexp_replace(x["text"], r"(?U)^\s+|\s+$", "").alias("text"), x["conf"].alias("conf")))
+    return F.filter(kept, lambda x: F.coalesce((x["text"] != "") & x["conf"].isNotNull(), F.lit(False)))
+
+
+def path_set(spark: SparkSession, path: str) -> DataFrame:
+    """(path): distinct strings of a JSON array; none if it can't be read as one."""
+    return spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", "array<string>")).alias("path")).filter("path IS NOT NULL").distinct()
 
 
 def library(spark: SparkSession, path: str) -> DataFrame:
@@ -56,8 +99,18 @@ def library(spark: SparkSession, path: str) -> DataFrame:
     return values.select(signed(F.col("u")).alias("hash")).filter("hash IS NOT NULL").distinct()
 
 
-def path_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.trim("value").alias("path")).filter("path <> ''")
+def path_list(spark: SparkSession, path: str, present: DataFrame | None = None) -> DataFrame:
+    """(path): nonblank lines; present: only those that stand in it."""
+    rows = spark.read.text(path).select(F.trim("value").alias("path")).filter("path <> ''")
+    return rows if present is None else rows.join(present.select("path").distinct(), "path", "left_semi")
+
+
+def newest(spark: SparkSession, pattern: str, chars: int) -> DataFrame:
+    """(path, tail): of the files that match, the one changed last, and its last characters; contents of others aren't read."""
+    found = spark.read.format("binaryFile").load(pattern)
+    last = found.select("path", "modificationTime").orderBy(F.desc("modificationTime"), F.desc("path")).limit(1)
+    text = F.decode("content", "UTF-8")
+    return found.join(F.broadcast(last.select("path")), "path").select("path", F.when(F.length(text) > chars, F.substring(text, -chars, chars)).otherwise(text).alias("tail"))  # one row
 
 
 def reference_names(spark: SparkSession, *folders: str) -> DataFrame:
