@@ -5,12 +5,13 @@ A byte goes if a string of `length` bytes that covers it also starts in a docume
 Whole corpora do not fit one suffix array, so strings are first dealt out so that equal ones meet. In
 every window of `length` bytes the gram of least hash is the string's anchor; equal strings have equal
 anchors. Anchors that occur in one document only are dropped after a first exchange of their hashes. A
-run of starts with one anchor is a context: the bytes that its strings cover. Contexts that are equal
-need no comparison beyond the smaller id, first within a batch of documents and then within a shard;
-those of anchors with different contexts go into the shard's suffix arrays. Sorting refines groups by
-doubling (Larsson-Sadakane), common prefixes are taken in text order (Kasai), and arrays of one shard
-that were built apart are merged by binary search of the strings of one in the other. Contexts of an
-anchor met in very many documents are cut into single strings, dealt out by their first and last bytes.
+run of starts with one anchor is a context: the bytes that its strings cover. Equal contexts are combined,
+first within a batch of documents (the larger ids lose theirs there) and then within a shard, where each
+stands once, for its least document. All of a shard's contexts are sorted as suffix arrays of bounded size:
+sorting refines groups by doubling (Larsson-Sadakane), common prefixes are taken in one pass in text order
+(Kasai), and the arrays' strings are merged two by two by binary search of those of one in the other. What
+is removed follows from the least document of each string. Contexts of an anchor met in very many documents
+are cut into single strings, dealt out by their first and last bytes. Shards are as many as the bytes need.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from siftstone.llm.common import by_batch, durable, partitions, raw_texts, trim,
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PLACE = np.uint64(22)  # bits of a place within a step of `_STEP` positions
 _STEP = 1 << 20
+BUCKET = 8 << 20  # bytes of text for which there is a bucket
 
 
 @dataclass(frozen=True)
@@ -88,8 +90,8 @@ def anchors(text: bytes, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions sorted by the `depth` bytes from each (fewer at the end, shorter first)."""
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Positions sorted by the bytes from each to the end; groups that agree so far are sorted by the ranks behind."""
     n = len(text)
     key = _words(np.concatenate([text, np.zeros(7, np.uint8)]))[:n].byteswap()
     sa = np.argsort(key, kind="stable")
@@ -98,7 +100,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     rank = np.empty(n, np.int64)
     rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0)) + 1
     h = 8
-    while h < depth:
+    while True:
         size = np.diff(np.append(np.flatnonzero(head), n))
         open_ = np.flatnonzero(np.repeat(size > 1, size))  # places in groups that are still unsorted
         if not len(open_):
@@ -115,40 +117,41 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return sa
 
 
-def common_prefixes(text: np.ndarray, sa: np.ndarray, depth: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, sa: np.ndarray, depth: int, run: int = 16) -> np.ndarray:
     """For each place of the array, the common prefix with the place before it, `depth` at most.
 
-    Kasai's order: positions are compared with their neighbour in the array as they come in the text,
-    eight bytes a step for all that are equal so far.
+    Kasai's pass: a position's prefix is at least that of the position before it less one, so comparison goes
+    on from there. The text is cut into runs of positions, which are passed over side by side.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([text, np.zeros(depth + 8, np.uint8)])
-    w = _words(padded)
+    w = _words(np.concatenate([text, np.zeros(depth + 8, np.uint8)]))
     lcp = np.zeros(n, np.int64)
-    at = np.flatnonzero(before >= 0)
-    for h in range(0, depth, 8):
-        x = w[at + h] ^ w[before[at] + h]
-        equal = x == 0
-        low = x & (~x + np.uint64(1))
-        bits = np.where(equal, 64, np.log2(np.maximum(low, 1).astype(float)).astype(np.int64))
-        lcp[at] += bits // 8
-        at = at[equal]
-    lcp = np.minimum(lcp, depth)
-    lcp = np.minimum(lcp, np.where(before >= 0, n - np.maximum(np.arange(n), before), 0))
+    h = np.zeros(-(-n // run), np.int64)
+    for k in range(run):
+        at = np.arange(k, n, run)
+        last = before[at]
+        h = np.where(last >= 0, np.maximum(h[: len(at)] - 1, 0), 0)
+        live = np.flatnonzero((last >= 0) & (h < depth))
+        while len(live):
+            x = w[at[live] + h[live]] ^ w[last[live] + h[live]]
+            h[live] += np.bitwise_count((x & (~x + np.uint64(1))) - np.uint64(1)) >> 3  # equal bytes before the first that differs
+            live = live[(x == 0) & (h[live] < depth)]
+        h = np.minimum(h, np.where(last >= 0, np.minimum(n - np.maximum(at, last), depth), 0))
+        lcp[at] = h
     return lcp[sa]
 
 
 def _sorted_strings(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray, length: int):
-    """One suffix array: the distinct strings of its contexts in order, the least document of each, and each start's string."""
+    """One suffix array: the distinct strings of its contexts in order, the least document of each, and the string of each start."""
     sizes = np.array([len(c) for c in contexts])
     base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     text = np.frombuffer(b"".join(contexts), np.uint8)
     owner = np.full(len(text), -1, np.int64)
     each = np.repeat(base, starts) + np.concatenate([np.arange(n) for n in starts])
     owner[each] = np.repeat(np.arange(len(contexts)), starts)
-    sa = suffix_array(text, length)
+    sa = suffix_array(text)
     group = np.cumsum(common_prefixes(text, sa, length) < length)
     of = np.empty(len(text), np.int64)
     of[sa] = group
@@ -158,11 +161,22 @@ def _sorted_strings(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray,
     np.minimum.at(least, string, docs[mine])
     at = each[first]
     strings = np.lib.stride_tricks.sliding_window_view(text, length)[at].copy().view(f"S{length}").ravel()
-    return strings, least, string, mine
+    return strings, least, string
 
 
-def repeats(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray, s: Settings) -> list[tuple[int, np.ndarray]]:
-    """(context, flags of its starts whose string a smaller document has), by suffix arrays of bounded size, merged."""
+def _merged(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two arrays' strings in order, each once, with its least document: the strings of one are sought in the other."""
+    if not len(x[0]) or not len(y[0]):
+        return x if len(x[0]) else y
+    k = np.searchsorted(x[0], y[0])
+    same = x[0][np.minimum(k, len(x[0]) - 1)] == y[0]
+    least = x[1].copy()
+    least[k[same]] = np.minimum(least[k[same]], y[1][same])
+    return np.insert(x[0], k[~same], y[0][~same]), np.insert(least, k[~same], y[1][~same])
+
+
+def least_documents(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray, s: Settings) -> np.ndarray:
+    """For each start of each context, in order, the least document that holds its string: by suffix arrays of bounded size, merged two by two."""
     shards, at, size = [], [0], 0
     for i, c in enumerate(contexts):
         if size and size + len(c) > s.array:
@@ -171,22 +185,12 @@ def repeats(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray, s: Sett
         size += len(c)
     at.append(len(contexts))
     for a, b in zip(at, at[1:], strict=False):
-        shards.append([a, *_sorted_strings(contexts[a:b], starts[a:b], docs[a:b], s.length)])
-    best = [shard[2].copy() for shard in shards]
-    for i, x in enumerate(shards):
-        for j, y in enumerate(shards):
-            if i != j and len(x[1]) and len(y[1]):
-                k = np.minimum(np.searchsorted(y[1], x[1]), len(y[1]) - 1)
-                same = y[1][k] == x[1]
-                best[i][same] = np.minimum(best[i][same], y[2][k[same]])
-    out = []
-    for least, (first, _, _, string, mine) in zip(best, shards, strict=True):
-        flags = least[string] < docs[first + mine]
-        cut = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
-        for b, e in zip(cut, np.r_[cut[1:], len(mine)], strict=True):
-            if flags[b:e].any():
-                out.append((first + int(mine[b]), flags[b:e]))
-    return out
+        shards.append(_sorted_strings(contexts[a:b], starts[a:b], docs[a:b], s.length))
+    level = [(x[0], x[1]) for x in shards]
+    while len(level) > 1:
+        level = [_merged(*level[i : i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+    strings, least = level[0]
+    return np.concatenate([least[np.searchsorted(strings, x[0])][x[2]] if len(shards) > 1 else x[1][x[2]] for x in shards])
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -213,7 +217,8 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     """
     s = settings
     spark = docs.sparkSession
-    buckets = partitions(spark, 32)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    buckets = max(partitions(spark, 32), size // BUCKET)
     t = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (F.col(carry) if carry else F.lit(None).cast("string")).alias("carried"))
     carried = StructField("carried", t.schema["carried"].dataType)
     fields = lambda ddl: StructType([*StructType.fromDDL(ddl).fields, carried])
@@ -254,7 +259,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         ).cast(pa.schema([("doc_id", pa.int64()), ("shared", kind), ("hot", kind)]))
 
     packed = by_batch(t.filter("doc_id IS NOT NULL").select("doc_id", "text"), hashed, "bucket int, docs binary, counts binary, hashes binary")
-    lists = packed.groupBy("bucket").applyInArrow(shared, "doc_id long, shared array<int>, hot array<int>")
+    lists = packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(shared, "doc_id long, shared array<int>, hot array<int>")
     lists = lists.groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared"), F.flatten(F.collect_list("hot")).alias("hot"))
 
     def zipped(b: pa.RecordBatch) -> pa.Table:
@@ -319,20 +324,19 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
             if docs_[j] > d:
                 owner[c] = i
         of = np.array([owner[c] for c in parts], np.int64)
-        gone = docs_ > docs_[of]  # an equal context stands in a smaller document
-        out = [(np.flatnonzero(gone), at[gone], at[gone] + sizes[gone])]
-        left = np.array(sorted(owner.values()), np.int64)
-        _, of_key, number = np.unique(keys[left], return_inverse=True, return_counts=True)
-        left = left[number[of_key] > 1]  # anchors with different contexts
-        left = left[np.argsort(keys[left], kind="stable")]
-        # all documents that hold the least one's context exactly are settled by the above; the rest share its strings' answers
+        held = np.unique(of)  # equal contexts stand in the arrays once, for their least document
+        held = held[np.argsort(keys[held], kind="stable")]
+        place = np.empty(len(of), np.int64)
+        place[held] = np.arange(len(held))
+        reach = least_documents([parts[i] for i in held.tolist()], counts[held], docs_[held], s)
+        first = np.cumsum(counts[held]) - counts[held]
+        furthest, nearest = np.maximum.reduceat(reach, first), np.minimum.reduceat(reach, first)
+        whole_ = furthest[place[of]] < docs_
+        out = [(np.flatnonzero(whole_), at[whole_], at[whole_] + sizes[whole_])]
         rows: list[tuple[int, int, int]] = []
-        twin_of: dict[int, list[int]] = {}
-        for i in np.flatnonzero(~gone & (of != np.arange(len(of)))).tolist():
-            twin_of.setdefault(int(of[i]), []).append(i)
-        for i, flags in repeats([parts[i] for i in left.tolist()], counts[left], docs_[left], s) if len(left) else []:
-            for k in (int(left[i]), *twin_of.get(int(left[i]), ())):  # rows of one doc_id
-                rows += [(k, int(at[k]) + a, int(at[k]) + e - 1 + s.length) for a, e in _runs(flags)]
+        for i in np.flatnonzero(~whole_ & (nearest[place[of]] < docs_)).tolist():
+            k = int(place[of[i]])
+            rows += [(i, int(at[i]) + a, int(at[i]) + e - 1 + s.length) for a, e in _runs(reach[first[k] : first[k] + counts[held[k]]] < docs_[i])]
         if rows:
             out.append(tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)))
         who, a, e = (np.concatenate([o[k] for o in out]) for k in range(3))
@@ -344,7 +348,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         return pa.table({"doc_id": docs_[who[first]], "h": prints[who[first]], "a": pa.ListArray.from_arrays(edges, pa.array(a)), "e": pa.ListArray.from_arrays(edges, pa.array(e))})
 
     boxes = mixed.filter("kind = 1").select("bucket", "keys", "counts", "docs", "prints", "at", "bytes")
-    far = boxes.groupBy("bucket").applyInArrow(compared, "doc_id long, h long, a array<long>, e array<long>")
+    far = boxes.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(compared, "doc_id long, h long, a array<long>, e array<long>")
     runs = far.select("doc_id", "h", "a", "e", F.lit(None).cast("binary").alias("local"), F.lit(None).cast("binary").alias("twins")).unionByName(
         mixed.filter("kind = 0").select("doc_id", "h", F.lit(None).cast("array<long>").alias("a"), F.lit(None).cast("array<long>").alias("e"), "local", "twins")
     )
