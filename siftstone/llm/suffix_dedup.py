@@ -106,7 +106,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         if not len(open_):
             break
         p = sa[open_]
-        after = np.where(p + h < n, rank[np.minimum(p + h, n - 1)], 0)
+        after = np.where(p + h < n, rank[np.minimum(p + h, n - 1)], n - p - h - 1)  # suffixes that end here: shorter first
         order = np.lexsort((after, rank[p]))
         sa[open_] = p = p[order]
         group, after = rank[p], after[order]
