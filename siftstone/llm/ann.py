@@ -3,8 +3,9 @@
 Each component of a unit vector is coded by one of sixteen levels of its dimension. Levels and codes are
 fitted to an anisotropic loss: the part of the residual along the vector itself, which moves the inner
 product with near queries most, costs `parallel` times as much as the part across it. Levels are fitted
-on a bounded sample; every row is coded. Queries are read in blocks against blocks of codes, two codes a
-byte, by table look-ups; the best of each block are merged and reranked on the original vectors.
+on a bounded sample; every distinct vector is coded where it lies. A bounded number of queries at a time is
+sent to all tasks, which scan their codes, two a byte, by table look-ups and keep the best for each query;
+these are merged and reranked on the original vectors, and copies come in with their ids at the end.
 """
 
 from __future__ import annotations
@@ -12,28 +13,26 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftstone.llm.common import durable
+from siftstone.llm.common import by_batch, by_task, durable
 from siftstone.llm.vectors import matrix, unit, valid
 
 
 @dataclass(frozen=True)
 class Settings:
-    """sample: rows that levels are fitted on, those of least hash; rerank: candidates a query keeps for exact cosines."""
+    """sample: vectors that levels are fitted on, those of least hash; from_task, rerank: candidates that a task, and then a
+    query, keeps for exact cosines; queries: that are sent to every task at once."""
 
     top: int = 5
     sample: int = 16384
     parallel: float = 4.0
     rounds: int = 6
-    rerank: int = 256
-    from_block: int = 96
-    query_block: int = 1024
-    code_blocks: int = 32
-    code_rows: int = 65536
+    rerank: int = 192
+    from_task: int = 192
+    queries: int = 32768
 
 
 class Codes:
@@ -87,17 +86,6 @@ class Codes:
         return (one[:, 1::2, :, None] + one[:, ::2, None, :]).reshape(len(q), -1, 256).astype(np.float32)
 
 
-def _best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best of a row, ties to smaller ids."""
-    if len(ids) > k:
-        edge = np.partition(score, len(score) - k)[len(score) - k]
-        at = np.flatnonzero(score >= edge)
-        at = at[np.lexsort((ids[at], -score[at]))][:k]
-    else:
-        at = np.arange(len(ids))
-    return ids[at], score[at]
-
-
 def nearest(rows: DataFrame, is_query, settings: Settings = Settings(), vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that is_query(column) selects, its nearest other rows.
 
@@ -107,71 +95,83 @@ def nearest(rows: DataFrame, is_query, settings: Settings = Settings(), vec_id:
     wanted give them all; an empty table gives an empty result. Extra columns are left aside.
     """
     s = settings
-    ok = durable(valid(rows, vec_id, embedding).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("d", F.size("embedding")))
-    sizes = {r["d"]: r["n"] for r in ok.groupBy("d").agg(F.count("*").alias("n")).collect()}  # a row for each vector length
+    ok = valid(rows, vec_id, embedding).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    # Two hashes of 64 bits name a vector; copies are scanned once.
+    ok = durable(ok.withColumns({"d": F.size("embedding"), "h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")}))
+    nodes = durable(ok.groupBy("h1", "h2").agg(F.first("embedding").alias("embedding"), F.first("d").alias("d")).withColumn("node", F.monotonically_increasing_id()))
+    first = Window.partitionBy("h1", "h2").orderBy("vec_id")  # of copies, the least ids that a query may want: one may be its own
+    ids = ok.select("h1", "h2", "vec_id", F.row_number().over(first).alias("r")).filter(F.col("r") <= s.top + 1)
+    ids = durable(ids.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("node", "vec_id", "r"))
+    sizes = {r["d"]: r["n"] for r in ok.filter(is_query(F.col("vec_id"))).groupBy("d").agg(F.count("*").alias("n")).collect()}  # a row for each vector length
     out = None
     for d, n in sorted(sizes.items()):
-        got = _of_length(ok.filter(F.col("d") == d).select("vec_id", "embedding"), d, n, is_query, s)
-        out = got if out is None else out.unionByName(got)
+        here = nodes.filter(F.col("d") == d).select("node", "embedding")
+        sample = here.orderBy(F.xxhash64("embedding"), "node").limit(s.sample).select("embedding").toArrow()
+        codes = rows.sparkSession.sparkContext.broadcast(Codes(unit(matrix(sample.column(0), d)), s))  # d x 16 numbers
+        coded = durable(_coded(here, codes, d))
+        asked = ok.filter(is_query(F.col("vec_id")) & (F.col("d") == d)).select("vec_id", "embedding")
+        parts = -(-n // s.queries)
+        for k in range(parts):  # so many queries at once as every task can hold; one part up to `queries`
+            some = asked if parts == 1 else asked.filter(F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(parts)) == k)
+            got = _answered(some, here, coded, ids, codes, d, s)
+            out = got if out is None else out.unionByName(got)
     if out is None:
         return ok.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     return out
 
 
-def _of_length(x: DataFrame, d: int, n: int, is_query, s: Settings) -> DataFrame:
-    spark = x.sparkSession
-    sample = x.orderBy(F.xxhash64("vec_id"), "vec_id").limit(s.sample).select("embedding").toArrow()
-    codes = spark.sparkContext.broadcast(Codes(unit(matrix(sample.column(0), d)), s))  # d x 16 numbers
-    blocks = max(s.code_blocks, -(-n // s.code_rows))
-    queries = durable(x.filter(is_query(F.col("vec_id"))))
-    n_q = queries.count()
-    q_blocks = max(1, -(-n_q // s.query_block))
+def _coded(nodes: DataFrame, codes, d: int) -> DataFrame:
+    """(nodes, codes): blocks of codes, a row for each batch; vectors stay where they are."""
+
+    def block(b: pa.RecordBatch) -> pa.Table:
+        u = unit(matrix(b.column(1), d))
+        return pa.table({"nodes": pa.array([b.column(0).to_numpy().tobytes()], pa.binary()), "codes": pa.array([codes.value.pack(u).tobytes()], pa.binary())})
 
-    def blob(_, pdf: pd.DataFrame) -> pd.DataFrame:
-        u = unit(np.stack(pdf["embedding"].to_numpy()).astype(float))
-        return pd.DataFrame({"ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "codes": [codes.value.pack(u).tobytes()]})
+    return by_batch(nodes, block, "nodes binary, codes binary")
 
-    def query_blob(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        u = unit(np.stack(pdf["embedding"].to_numpy()).astype(float))
-        return pd.DataFrame({"q_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "q": [u.tobytes()], "b": [key[0]]})
 
-    coded = durable(x.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).applyInPandas(blob, "ids binary, codes binary"))
-    asked = durable(queries.groupBy(F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(q_blocks)).alias("b")).applyInPandas(query_blob, "q_ids binary, q binary, b long"))
-    met = coded.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long")))).repartition(min(4096, blocks * q_blocks), "b", "ids").join(asked.hint("shuffle_hash") if q_blocks > 1 else F.broadcast(asked), "b")
+def _answered(asked: DataFrame, nodes: DataFrame, coded: DataFrame, ids: DataFrame, codes, d: int, s: Settings) -> DataFrame:
+    table = asked.orderBy("vec_id").toArrow()  # about s.queries rows
+    q_ids, q = table.column(0).to_numpy(), unit(matrix(table.column(1), d)) if len(table) else np.zeros((0, d))
+    shared = asked.sparkSession.sparkContext.broadcast((q_ids, q))
 
     def scan(batches):
+        """The best of all blocks of a task for each query."""
+        q_ids, q = shared.value
+        best_score, best = np.full((len(q_ids), s.from_task), -np.inf, np.float32), np.full((len(q_ids), s.from_task), -1, np.int64)
         for batch in batches:
-            for ids, packed, q_ids, q in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("ids", "codes", "q_ids", "q")), strict=True):
-                ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
-                packed = np.frombuffer(packed, np.uint8).reshape(len(ids), -1).T.copy()
-                q = np.frombuffer(q, float).reshape(len(q_ids), d)
+            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                node = np.frombuffer(node, np.int64)
+                packed = np.frombuffer(packed, np.uint8).reshape(len(node), -1).T.copy()
                 for at in range(0, len(q_ids), 64):
-                    table = codes.value.tables(q[at : at + 64])
-                    rows: list[list] = [[], [], []]
-                    for i, query in enumerate(q_ids[at : at + 64]):
-                        score = np.zeros(len(ids), np.float32)
+                    tables = codes.value.tables(q[at : at + 64])
+                    for i in range(len(tables)):
+                        score = np.zeros(len(node), np.float32)
                         for j, byte in enumerate(packed):
-                            score += table[i, j][byte]
-                        if (own := np.flatnonzero(ids == query)).size:
-                            score[own] = -np.inf
-                        got, value = _best(score, ids, s.from_block)
-                        keep = got != query
-                        rows[0].append(np.full(keep.sum(), query))
-                        rows[1].append(got[keep])
-                        rows[2].append(value[keep])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows[0])), pa.array(np.concatenate(rows[1])), pa.array(np.concatenate(rows[2]).astype(np.float32))], names=["query_id", "vec_id", "approx"])
-
-    scanned = met.select("ids", "codes", "q_ids", "q").mapInArrow(scan, "query_id long, vec_id long, approx float")
-    best = Window.partitionBy("query_id").orderBy(F.desc("approx"), "vec_id")
-    few = durable(scanned.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= s.rerank).select("query_id", "vec_id"))
-    both = few.join(x.withColumnRenamed("embedding", "v"), "vec_id").join(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("w")), "query_id")
-
-    def exact(batches):
-        for b in batches:
-            if b.num_rows:
-                v, w = (unit(matrix(b.column(b.schema.get_field_index(c)), d)) for c in ("v", "w"))
-                yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("query_id")), b.column(b.schema.get_field_index("vec_id")), pa.array(np.einsum("ij,ij->i", v, w))], names=["query_id", "vec_id", "score"])
-
-    scored = both.select("query_id", "vec_id", "v", "w").mapInArrow(exact, "query_id long, vec_id long, score double")
-    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+                            score += tables[i, j][byte]
+                        k = at + i
+                        over = np.flatnonzero(score > best_score[k, -1])  # the last is the least that is kept
+                        if len(over):
+                            every, who = np.concatenate([best_score[k], score[over]]), np.concatenate([best[k], node[over]])
+                            keep = np.lexsort((who, -every))[: s.from_task]
+                            best_score[k], best[k] = every[keep], who[keep]
+        found = best >= 0
+        if found.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, found.sum(axis=1))), pa.array(best[found]), pa.array(best_score[found])], names=["query_id", "node", "approx"])
+
+    scanned = by_task(coded, scan, "query_id long, node long, approx float")
+    best = Window.partitionBy("query_id").orderBy(F.desc("approx"), "node")
+    few = scanned.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= s.rerank).select("query_id", "node")
+
+    def exact(b: pa.RecordBatch) -> pa.RecordBatch:
+        q_ids, q = shared.value
+        w = q[np.searchsorted(q_ids, b.column(0).to_numpy())]
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.einsum("ij,ij->i", unit(matrix(b.column(2), d)), w))], names=["query_id", "node", "score"])
+
+    scored = by_batch(few.join(nodes, "node").select("query_id", "node", "embedding"), exact, "query_id long, node long, score double")
+    near = scored.join(ids.filter("r = 1").select("node", F.col("vec_id").alias("least")), "node")
+    top = Window.partitionBy("query_id").orderBy(F.desc("score"), "least")
+    near = near.withColumn("k", F.row_number().over(top)).filter(F.col("k") <= s.top + 1).select("query_id", "node", "score")
+    each = near.join(ids.select("node", "vec_id"), "node").filter("vec_id <> query_id")
+    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= s.top).select("query_id", "rank", "vec_id", "score")
