@@ -101,15 +101,17 @@ def _counted(lines: np.ndarray, left: np.ndarray, right: np.ndarray, s: Settings
     """Pairs (a in left, b in right) whose windows collide on enough lines."""
     orders = np.argsort(lines[right], axis=0, kind="stable")
     sorted_lines = np.take_along_axis(lines[right], orders, axis=0)
-    place = np.arange(len(right))
+    place = np.empty_like(orders)  # of each row on each sorted line
+    np.put_along_axis(place, orders, np.arange(len(right))[:, None], axis=0)
+    place = place.T.astype(np.uint16 if len(right) < 1 << 16 else np.uint64)  # unsigned, so that one comparison tells a run's both ends
     found = []
     for at in range(0, len(left), 256):
         rows = left[at : at + 256]
-        count = np.zeros((len(rows), len(right)), np.int8)
+        count = np.zeros((len(rows), len(right)), np.uint8)
         for k in range(s.counted):  # each row's window covers a run of the sorted line
-            lo = np.searchsorted(sorted_lines[:, k], lines[rows, k] - s.window, "left")
-            hi = np.searchsorted(sorted_lines[:, k], lines[rows, k] + s.window, "right")
-            count[:, orders[:, k]] += (place >= lo[:, None]) & (place < hi[:, None])
+            lo = np.searchsorted(sorted_lines[:, k], lines[rows, k] - s.window, "left").astype(place.dtype)
+            hi = np.searchsorted(sorted_lines[:, k], lines[rows, k] + s.window, "right").astype(place.dtype)
+            count += (place[k][None, :] - lo[:, None]) < (hi - lo)[:, None]
         a, b = np.nonzero(count >= s.least_count)
         found.append((rows[a], right[b]))
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
