@@ -94,7 +94,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     """Positions sorted by the bytes from each to the end; groups that agree so far are sorted by the ranks behind."""
     n = len(text)
     key = _words(np.concatenate([text, np.zeros(7, np.uint8)]))[:n].byteswap()
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     k = key[sa]
     head = np.r_[True, k[1:] != k[:-1]]
     rank = np.empty(n, np.int64)
@@ -107,10 +107,11 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
             break
         p = sa[open_]
         after = np.where(p + h < n, rank[np.minimum(p + h, n - 1)], n - p - h - 1)  # suffixes that end here: shorter first
-        order = np.lexsort((after, rank[p]))
+        both = rank[p] * (n + h + 2) + (after + h + 1)  # one number for the group and what comes behind
+        order = np.argsort(both)
         sa[open_] = p = p[order]
-        group, after = rank[p], after[order]
-        split = np.r_[True, (group[1:] != group[:-1]) | (after[1:] != after[:-1])]
+        both = both[order]
+        split = np.r_[True, both[1:] != both[:-1]]
         head[open_] |= split
         rank[p] = open_[np.maximum.accumulate(np.where(split, np.arange(len(p)), 0))] + 1
         h *= 2
@@ -156,10 +157,13 @@ def _sorted_strings(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray,
     of = np.empty(len(text), np.int64)
     of[sa] = group
     mine, group = owner[each], of[each]
-    kept, first, string = np.unique(group, return_index=True, return_inverse=True)
-    least = np.full(len(kept), np.iinfo(np.int64).max)
+    met = np.zeros(group.max(initial=0) + 1, bool)
+    met[group] = True
+    string = (np.cumsum(met) - 1)[group]
+    least = np.full(int(met.sum()), np.iinfo(np.int64).max)
     np.minimum.at(least, string, docs[mine])
-    at = each[first]
+    at = np.empty(len(least), np.int64)
+    at[string] = each
     strings = np.lib.stride_tricks.sliding_window_view(text, length)[at].copy().view(f"S{length}").ravel()
     return strings, least, string
 
@@ -263,7 +267,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     lists = lists.groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared"), F.flatten(F.collect_list("hot")).alias("hot"))
 
     def zipped(b: pa.RecordBatch) -> pa.Table:
-        z = zstandard.ZstdCompressor(level=1)
+        z = zstandard.ZstdCompressor(level=3)
         made = {"doc_id": b.column(0), "h": b.column(1), "z": pa.array([z.compress(x) for x in raw_texts(b.column(2))], pa.binary())}
         return pa.table(made | ({"carried": b.column(3)} if b.num_columns > 3 else {}))
 
