@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from siftstone.llm.common import by_batch, durable, partitions, raw_texts, trim, unused
+from siftstone.llm.common import by_batch, partitions, raw_texts, trim, unused
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PLACE = np.uint64(22)  # bits of a place within a step of `_STEP` positions
@@ -267,7 +267,7 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     lists = lists.groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared"), F.flatten(F.collect_list("hot")).alias("hot"))
 
     def zipped(b: pa.RecordBatch) -> pa.Table:
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=1)
         made = {"doc_id": b.column(0), "h": b.column(1), "z": pa.array([z.compress(x) for x in raw_texts(b.column(2))], pa.binary())}
         return pa.table(made | ({"carried": b.column(3)} if b.num_columns > 3 else {}))
 
@@ -302,19 +302,22 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
                     box = sent.setdefault((k >> 32) % buckets, [[], [], [], [], [], []])
                     for column, v in zip(box, (k & 0xFFFFFFFF, m, doc, prints[row], at, part), strict=True):
                         column.append(v)
-        rows = [{"kind": 1, "bucket": k, "keys": _small(np.array(v[0], np.uint32)), "counts": _small(np.array(v[1], np.int16)), "docs": _small(np.array(v[2], np.int64)),
+        rows = [{"bucket": k, "keys": _small(np.array(v[0], np.uint32)), "counts": _small(np.array(v[1], np.int16)), "docs": _small(np.array(v[2], np.int64)),
                  "prints": _small(np.array(v[3], np.int64)), "at": _small(np.array(v[4], np.int64)), "bytes": zstandard.compress(b"".join(v[5]), 1)} for k, v in sent.items()]
         for row in range(len(ids)):
             if local[row] or row in twins:
-                rows.append({"kind": 0, "doc_id": ids[row], "h": prints[row], "local": _small(np.array(_join(local[row]), np.int64)), "twins": _small(np.array(twins.get(row, []), np.int64))})
+                rows.append({"bucket": -1 - ids[row] % buckets, "doc_id": ids[row], "h": prints[row], "local": _small(np.array(_join(local[row]), np.int64)), "twins": _small(np.array(twins.get(row, []), np.int64))})
         kind = pa.schema([(n, getattr(pa, k)()) for n, k in _MIXED])
         return pa.table({n: [r.get(n) for r in rows] for n, _ in _MIXED}, schema=kind)
 
     wanted = t.filter("doc_id IS NOT NULL").select("doc_id", "h", "text")
     joined = by_batch(wanted, zipped, "doc_id long, h long, z binary").join(lists.filter(F.size("shared") > 0), "doc_id")
-    mixed = durable(by_batch(joined.select("doc_id", "h", "z", "shared", "hot"), contexts, ", ".join(f"{n} {_SQL[k]}" for n, k in _MIXED)))
+    mixed = by_batch(joined.select("doc_id", "h", "z", "shared", "hot"), contexts, ", ".join(f"{n} {_SQL[k]}" for n, k in _MIXED))
 
     def compared(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < 0:  # runs that are settled already
+            none = pa.nulls(len(table), pa.list_(pa.int64()))
+            return pa.table({"doc_id": table.column("doc_id"), "h": table.column("h"), "a": none, "e": none, "local": table.column("local"), "twins": table.column("twins")})
         keys, counts, docs_, prints, at = (np.concatenate([_large(x, d) for x in table.column(c).to_pylist()]) for c, d in (("keys", np.uint32), ("counts", np.int16), ("docs", np.int64), ("prints", np.int64), ("at", np.int64)))
         counts = counts.astype(np.int64)
         whole = b"".join(zstandard.decompress(x) for x in table.column("bytes").to_pylist())
@@ -349,13 +352,11 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         first = np.flatnonzero(np.r_[True, (docs_[who][1:] != docs_[who][:-1]) | (prints[who][1:] != prints[who][:-1])]) if len(who) else np.zeros(0, np.int64)
         edges = pa.array(np.r_[first, len(who)].astype(np.int32))
         trim()
-        return pa.table({"doc_id": docs_[who[first]], "h": prints[who[first]], "a": pa.ListArray.from_arrays(edges, pa.array(a)), "e": pa.ListArray.from_arrays(edges, pa.array(e))})
+        none = pa.nulls(len(first), pa.binary())
+        return pa.table({"doc_id": docs_[who[first]], "h": prints[who[first]], "a": pa.ListArray.from_arrays(edges, pa.array(a)), "e": pa.ListArray.from_arrays(edges, pa.array(e)), "local": none, "twins": none})
 
-    boxes = mixed.filter("kind = 1").select("bucket", "keys", "counts", "docs", "prints", "at", "bytes")
-    far = boxes.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(compared, "doc_id long, h long, a array<long>, e array<long>")
-    runs = far.select("doc_id", "h", "a", "e", F.lit(None).cast("binary").alias("local"), F.lit(None).cast("binary").alias("twins")).unionByName(
-        mixed.filter("kind = 0").select("doc_id", "h", F.lit(None).cast("array<long>").alias("a"), F.lit(None).cast("array<long>").alias("e"), "local", "twins")
-    )
+    # Boxes and settled runs are read once, by the same exchange, so nothing of them is kept beside it.
+    runs = mixed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(compared, "doc_id long, h long, a array<long>, e array<long>, local binary, twins binary")
     per_row = runs.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("a")).alias("a"), F.flatten(F.collect_list("e")).alias("e"), F.collect_list("local").alias("local"), F.collect_list("twins").alias("twins"))
     final = by_batch(t.select("doc_id", "h", "text", "carried"), zipped, fields("doc_id long, h long, z binary")).join(per_row, ["doc_id", "h"], "left")
 
@@ -388,7 +389,7 @@ def _large(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(x), kind)
 
 
-_MIXED = [("kind", "int32"), ("doc_id", "int64"), ("h", "int64"), ("local", "binary"), ("twins", "binary"), ("bucket", "int32"), ("keys", "binary"),
+_MIXED = [("doc_id", "int64"), ("h", "int64"), ("local", "binary"), ("twins", "binary"), ("bucket", "int32"), ("keys", "binary"),
           ("counts", "binary"), ("docs", "binary"), ("prints", "binary"), ("at", "binary"), ("bytes", "binary")]
 _SQL = {"int32": "int", "int64": "long", "binary": "binary", "string": "string"}
 
