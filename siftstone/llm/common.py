@@ -44,9 +44,11 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Rows of df, computed once and kept in the shared folder."""
+    """Rows of df, computed once and kept in the shared folder; what the driver has freed by then goes back to the system."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    trim()
+    return kept
 
 
 def partitions(spark: SparkSession, least: int = 16) -> int:
