@@ -25,6 +25,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_pattern() -> str:
+    """The pattern whose matches the byte-level tokenizers encode separately."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; where that is unset and the master is local (tests), a temporary one."""
     sc = spark.sparkContext
