@@ -1,4 +1,4 @@
-"""Features of pictures from arrays of pixels; decoding a file to pixels is the caller's (`decoded`), since no decoder is at hand here.
+"""Features of pictures, from arrays of pixels or from decoded files (`sources/pictures.py`).
 
 A picture is a row (pixels array<double> in row order, w, h). Whole batches of pictures go to numpy by Arrow.
 """
@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 
 def shrunk(g: np.ndarray, most: int = 512) -> np.ndarray:
@@ -145,12 +145,12 @@ def _per_picture(rows: DataFrame, f: Callable[[np.ndarray], dict], fields: list[
     return rows.mapInArrow(run, StructType([*rows.select(*kept).schema.fields, *fields]))
 
 
-def grey_statistics(rows: DataFrame) -> DataFrame:
-    """Adds lum_mean, lum_std, edge_mean, uniform_pct and blur_var of pictures at 512 on the longer side at most, unrounded."""
+def grey_statistics(rows: DataFrame, most: int = 512) -> DataFrame:
+    """Adds lum_mean, lum_std, edge_mean, uniform_pct and blur_var of pictures at `most` on the longer side, unrounded."""
     names = ("lum_mean", "lum_std", "edge_mean", "uniform_pct", "blur_var")
 
     def of(g: np.ndarray) -> dict:
-        small = shrunk(g)
+        small = shrunk(g, most)
         return statistics(small) | {"blur_var": float(laplacian(small).var())}
 
     return _per_picture(rows, of, [StructField(n, DoubleType()) for n in names])
@@ -166,19 +166,56 @@ def marked(rows: DataFrame) -> DataFrame:
     return _per_picture(rows, lambda g: dict(zip(("transparent_score", "logo_score"), mark_scores(g), strict=True)), [StructField(n, DoubleType()) for n in ("transparent_score", "logo_score")])
 
 
-def decoded(files: DataFrame, decode: Callable[[bytes], tuple[int, int, list[float]]]) -> DataFrame:
-    """(path, bytes, ok, error, w, h, pixels) of files (path, content); what decode raises is the error, and no file stops the others."""
+def luma(rgb: np.ndarray) -> np.ndarray:
+    """Grey values of rows x columns x 3, rounded to whole numbers as picture libraries do."""
+    r, g, b = (rgb[:, :, c].astype(np.int64) for c in range(3))
+    return ((19595 * r + 38470 * g + 7471 * b + 32768) >> 16).astype(float)
+
+
+def _of_files(rows: DataFrame, f: Callable[[np.ndarray], dict], fields: list[StructField]) -> DataFrame:
+    """Decoded pictures without rgb, with what f says of each; a broken file has nulls."""
+    kept = [c for c in rows.columns if c != "rgb"]
+    schema = StructType([*rows.select(*kept).schema.fields, *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                try:
-                    w, h, pixels = decode(content)
-                    rows.append({"path": path, "bytes": len(content), "ok": True, "error": None, "w": w, "h": h, "pixels": list(map(float, pixels))})
-                except Exception as e:  # whatever a decoder raises on a broken file
-                    rows.append({"path": path, "bytes": len(content or b""), "ok": False, "error": str(e), "w": None, "h": None, "pixels": None})
-            kind = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("ok", pa.bool_()), ("error", pa.string()), ("w", pa.int32()), ("h", pa.int32()), ("pixels", pa.list_(pa.float64()))])
-            yield pa.RecordBatch.from_pylist(rows, schema=kind)
-
-    return files.select("path", F.col("content")).mapInArrow(run, "path string, bytes long, ok boolean, error string, w int, h int, pixels array<double>")
+            out: dict[str, list] = {x.name: [] for x in fields}
+            for rgb, w, h in zip(b.column("rgb"), b.column("w").to_pylist(), b.column("h").to_pylist(), strict=True):
+                good = rgb.is_valid and w and h
+                said = f(np.frombuffer(rgb.as_buffer(), np.uint8).reshape(h, w, 3)) if good else {}
+                for x in fields:
+                    out[x.name].append(said.get(x.name))
+            made = [pa.array(out[x.name], _ARROW[x.dataType.simpleString()]) for x in fields]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *made], names=[*kept, *out])
+
+    return rows.mapInArrow(run, schema)
+
+
+_ARROW = {"double": pa.float64(), "bigint": pa.int64(), "int": pa.int32(), "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string())}
+
+
+def greyed(rows: DataFrame) -> DataFrame:
+    """Decoded pictures with pixels array<double>, their grey values row after row, in place of rgb."""
+    return _of_files(rows, lambda x: {"pixels": luma(x).ravel()}, [StructField("pixels", ArrayType(DoubleType()))])
+
+
+def collected(rows: DataFrame, most: int = 512) -> DataFrame:
+    """All quick features of decoded pictures in one pass: rows without rgb, with lum_mean, lum_std, edge_mean, uniform_pct
+    (rounded as reports show them), ncolors16, blur_var at `most` pixels on the longer side, transparent_score and logo_score
+    of the whole picture, and phash. A broken file has nulls. A task holds one picture beside its batch."""
+
+    def of(x: np.ndarray) -> dict:
+        grey = luma(x)
+        scale = most / max(grey.shape)
+        to = (max(1, int(grey.shape[0] * scale)), max(1, int(grey.shape[1] * scale)))
+        small = x if scale >= 1 else np.stack([resized(x[:, :, c].astype(float), *to) for c in range(3)], axis=2).round()
+        g = luma(small)
+        s = statistics(g)
+        through, graphic = mark_scores(grey)
+        return {
+            "lum_mean": round(s["lum_mean"], 2), "lum_std": round(s["lum_std"], 2), "edge_mean": round(s["edge_mean"], 3), "uniform_pct": round(s["uniform_pct"], 4),
+            "ncolors16": colours16(small), "blur_var": float(laplacian(g).var()), "transparent_score": through, "logo_score": graphic, "phash": perceptual_hash(grey),
+        }
+
+    doubles = ("lum_mean", "lum_std", "edge_mean", "uniform_pct", "blur_var", "transparent_score", "logo_score")
+    return _of_files(rows, of, [*(StructField(n, DoubleType()) for n in doubles), StructField("ncolors16", IntegerType()), StructField("phash", LongType())])

@@ -16,7 +16,7 @@ from siftstone.operators import sampling as S
 from siftstone.operators import similarity as H
 from siftstone.plans import registry as Q
 from siftstone.plans.standin import hashes, items, table
-from siftstone.sources import readers, sinks
+from siftstone.sources import pictures, readers, sinks
 from siftstone.sources.scratch import new_folder, once
 
 QUERIES: dict = {}
@@ -42,64 +42,73 @@ def _docs(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").select("doc_id", "source")
 
 
-def _touch(spark: SparkSession, folder: str, names: list[str]) -> None:
-    """Small files by the file system that holds the folder."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for n in names:
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}")
-        out = path.getFileSystem(conf).create(path)
-        out.write(bytearray(n.encode()))
-        out.close()
+# ---- listings: a file for each document
 
+FOLDERS = ("", "sub/", "ERR/", "sub/Output/", "sub/deep/", "a.b/")
+ENDINGS = (".webp", ".JPG", ".txt", ".png", ".PNG.bak", ".gif", ".jpeg", ".avif", ".bmp", ".tar.webp")
+_SQL_FILES = (
+    f"f AS (SELECT doc_id, {list(FOLDERS)}[doc_id % {len(FOLDERS)} + 1] AS folder, {list(ENDINGS)}[doc_id // 3 % {len(ENDINGS)} + 1] AS ending, doc_id % 40 AS bytes FROM documents), "
+    "n AS (SELECT *, 'f' || doc_id || ending AS name, lower(regexp_extract(ending, '[.][^.]*$')) AS last FROM f)"
+)
+
+
+def _written(s: SparkSession, rows: DataFrame) -> str:
+    """A folder of the files (path, content) of rows."""
+    folder = new_folder(s, "listing")
+    pictures.write_files(rows, folder).write.format("noop").mode("overwrite").save()
+    return folder
 
-# ---- listings
 
-FILES = ["a.webp", "B.JPG", "c.txt", "sub/d.png", "sub/e.PNG.bak", "ERR/f.webp", "sub/Output/g.jpg", "sub/deep/h.gif", "i.jpeg", "j.avif", "sub/a.webp"]
+def _files(s: SparkSession, d: str) -> DataFrame:
+    i, pick = F.col("doc_id"), lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at % len(names) + 1).cast("int"))
+    name = F.concat(pick(FOLDERS, i), F.lit("f"), i.cast("string"), pick(ENDINGS, F.floor(i / 3)))
+    return table(s, d, "documents").select(name.alias("path"), F.repeat(F.lit("x"), (i % 40).cast("int")).alias("content"))
 
 
 def _listing(recursive: bool, extensions=L.IMAGE_EXTENSIONS, skipped=L.SKIPPED_FOLDERS):
     def query(s: SparkSession, d: str) -> DataFrame:
-        folder = new_folder(s, "listing")
-        _touch(s, folder, FILES)
-        found = readers.images(s, folder, recursive, extensions, skipped)
+        found = readers.images(s, _written(s, _files(s, d)), recursive, extensions, skipped)
         return found.select(F.regexp_extract("path", r"listing-[0-9a-f]{32}/(.*)$", 1).alias("file"), "filename", "bytes")
 
     return query
 
 
-def _expected(names: list[str]) -> str:
-    return "SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{n.rsplit('/', 1)[-1]}', {len(n)}::BIGINT)" for n in names) + ") v(file, filename, bytes)"
+def _expected(recursive: bool, extensions=L.IMAGE_EXTENSIONS, skipped=L.SKIPPED_FOLDERS, shown: str = "folder || name AS file, name AS filename, bytes") -> str:
+    inside = "true" if recursive else "folder = ''"
+    clear = f"len(list_intersect(string_split(lower(rtrim(folder, '/')), '/'), {list(skipped)})) = 0" if skipped else "true"
+    return f"WITH {_SQL_FILES} SELECT {shown} FROM n WHERE list_contains({list(extensions)}, last) AND {inside} AND {clear}"
 
 
-_add("s1_s2_images", _listing(True), _expected(["a.webp", "B.JPG", "sub/d.png", "sub/deep/h.gif", "i.jpeg", "j.avif", "sub/a.webp"]))
-_add("s1b_flat_images", _listing(False), _expected(["a.webp", "B.JPG", "i.jpeg", "j.avif"]))
-_add("s13_flat_photos", _listing(False, L.PHOTO_EXTENSIONS), _expected(["a.webp", "B.JPG", "i.jpeg"]))
-_add("s15_flat_webp", _listing(False, (".webp",)), _expected(["a.webp"]))
-_add("s18_all_photos", _listing(True, L.PHOTO_EXTENSIONS, ()), _expected(["a.webp", "B.JPG", "sub/d.png", "ERR/f.webp", "sub/Output/g.jpg", "i.jpeg", "sub/a.webp"]))
-_add("s21_images_count", lambda s, d: _listing(False, L.PHOTO_EXTENSIONS)(s, d).agg(F.count("*").alias("n")), "SELECT 3::BIGINT AS n")
+for _n, _with in {
+    "s1_s2_images": (True,), "s1b_flat_images": (False,), "s13_flat_photos": (False, L.PHOTO_EXTENSIONS), "s15_flat_webp": (False, (".webp",)), "s18_all_photos": (True, L.PHOTO_EXTENSIONS, ()),
+}.items():
+    _add(_n, _listing(*_with), _expected(*_with))
+_add("s21_images_count", lambda s, d: _listing(False, L.PHOTO_EXTENSIONS)(s, d).agg(F.count("*").alias("n")), _expected(False, L.PHOTO_EXTENSIONS, shown="count(*) AS n"))
 
 
 def _names(s: SparkSession, d: str) -> DataFrame:
-    a, b = new_folder(s, "ref"), new_folder(s, "ref")
-    _touch(s, a, FILES[:6])
-    _touch(s, b, FILES[3:] + ["x/A.webp"])
-    return readers.reference_names(s, a, b)
+    rows, i = table(s, d, "documents"), F.col("doc_id")
+    one = lambda cond, form: _written(s, rows.filter(cond).select(F.format_string(form, i, (i % 7)).alias("path"), F.lit("").alias("content")))
+    # Two folders that have names in common but for their case.
+    return readers.reference_names(s, one("doc_id % 3 < 2", "Ref_%d_%d.JPG"), one("doc_id % 3 > 0", "x/ref_%d_%d.jpg"))
 
 
-_add("s11_u8_reference_names", _names, "SELECT DISTINCT lower(n) AS filename FROM (VALUES " + ", ".join(f"('{n.rsplit('/', 1)[-1]}')" for n in [*FILES, "A.webp"]) + ") v(n)")
+_add("s11_u8_reference_names", _names, "SELECT DISTINCT 'ref_' || doc_id || '_' || doc_id % 7 || '.jpg' AS filename FROM documents")
 
 
 def _newest(s: SparkSession, d: str) -> DataFrame:
     import time
 
-    folder = new_folder(s, "logs")
-    _touch(s, folder, ["run_b.log"])
+    docs = table(s, d, "documents")
+    log = docs.select(F.format_string("run_%d.log", "doc_id").alias("path"), F.col("text").alias("content"))
+    folder = _written(s, log)
     time.sleep(1.1)  # file systems may keep whole seconds
-    _touch(s, folder, ["run_a.log", "other.txt"])
-    return readers.newest(s, f"{folder}/run_*.log", 5).select("tail")
+    last = docs.agg(F.format_string("run_%d.log", F.min("doc_id")).alias("path"), F.concat(F.lit("all "), F.count("*").cast("string")).alias("content"))
+    pictures.write_files(last, folder).write.format("noop").mode("overwrite").save()
+    return readers.newest(s, f"{folder}/run_*.log", 12).select("tail")
 
 
-_add("s22_o10_latest_log", _newest, "SELECT 'a.log' AS tail")
+_add("s22_o10_latest_log", _newest, "SELECT right('all ' || count(*), 12) AS tail FROM documents")
 
 # ---- lists and logs
 

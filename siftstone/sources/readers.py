@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftstone.functions import lexicon as L
 from siftstone.operators.rows import basename, keep_last
+from siftstone.sources.pictures import empty_files, listed
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -16,14 +17,8 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 def images(spark: SparkSession, folder: str, recursive: bool = True, extensions: tuple[str, ...] = L.IMAGE_EXTENSIONS, skipped: tuple[str, ...] = L.SKIPPED_FOLDERS) -> DataFrame:
     """(path, filename, bytes): files of the wanted endings outside of skipped folders, in order of path; contents aren't read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    ending = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
-    below = F.expr(f"substring(path, {len(folder.rstrip('/')) + 1} + greatest(locate('{folder.rstrip('/')}', path) - 1, 0))")
-    folders = F.slice(F.split(F.lower(below), "/"), 1, F.greatest(F.size(F.split(below, "/")) - 1, F.lit(0)))
-    depth = F.size(F.split(F.regexp_replace(below, "^/", ""), "/")) - 1
-    found = found if recursive else found.filter(depth == 0)
-    found = found.filter(~F.exists(folders, lambda d: d.isin(*skipped))) if skipped else found
-    return found.filter(ending.isin(*extensions)).select("path", basename(F.col("path")).alias("filename"), F.col("length").alias("bytes")).orderBy("path")
+    found = listed(spark, folder, recursive, extensions, skipped)
+    return found.select("path", basename(F.col("path")).alias("filename"), F.col("length").alias("bytes")).orderBy("path")
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -115,7 +110,9 @@ def newest(spark: SparkSession, pattern: str, chars: int) -> DataFrame:
 
 def reference_names(spark: SparkSession, *folders: str) -> DataFrame:
     """(filename): distinct lower-case names of all files below the folders."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders)).select("path")
+    for folder in folders:
+        found = found.unionByName(empty_files(spark, folder).select("path"))
     return found.select(F.lower(basename(F.col("path"))).alias("filename")).distinct()
 
 

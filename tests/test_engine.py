@@ -161,12 +161,6 @@ def test_pixels(spark):
     assert pixels.colours16(two) == 2
 
 
-def test_decoding_errors_are_rows(spark):
-    files = spark.createDataFrame([("a", bytes([2, 1, 5, 6])), ("b", b"")], "path string, content binary")
-    got = {r.path: r for r in pixels.decoded(files, lambda c: (c[0], c[1], list(c[2:]))).collect()}
-    assert got["a"].pixels == [5.0, 6.0] and got["a"].ok and not got["b"].ok and got["b"].error
-
-
 def test_offline_parts(spark):
     items_ = spark.createDataFrame([("f1", "/x/f1"), ("f2", "/x/f2"), ("f3", "/x/f3")], "filename string, path string")
     present = spark.createDataFrame([("/x/f1",), ("/b/f1",), ("/b/f2",)], "path string")
