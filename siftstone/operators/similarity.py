@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftstone.sources.scratch import once
+
+#: (width of a block in bits, bits that differ within it) of each round of `best_match`. Hashes that differ in at most
+#: blocks * (bits + 1) - 1 bits agree in some block but for that many; the last rounds reach every distance.
+ROUNDS = ((16, 0), (16, 1), *((8, k) for k in range(1, 9)))
+
 
 def pack_bits(values: Column) -> Column:
     """Bit i, most significant first, is set where value i exceeds the median of the 64 values."""
@@ -55,3 +63,44 @@ def match_library(items: DataFrame, library: DataFrame, key: str, hash_: str = "
     right = banded(library.select(F.col("hash")).distinct(), "hash")
     near = left.join(right, ["i", "v"]).withColumn("d", distance(F.col(f"_{hash_}"), F.col("_hash"))).filter(F.col("d") <= most)
     return near.groupBy(key).agg((1 - F.min("d") / F.lit(64.0)).alias("library_similarity"))
+
+
+def _blocks(h: str, width: int) -> Column:
+    """Blocks of a hash as (i, v)."""
+    part = lambda i: F.call_function("shiftrightunsigned", F.col(h), F.lit(width * i)).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
+    return F.array(*[F.struct(F.lit(i).alias("i"), part(i).alias("v")) for i in range(64 // width)])
+
+
+def best_match(items: DataFrame, library: DataFrame, key: str, hash_: str = "phash") -> DataFrame:
+    """(key, best_similarity) of every item: the greatest similarity to any library hash, 0 for a null hash or an empty library.
+
+    Multi-index hashing with a growing radius. Distinct hashes are cut into blocks; a round looks up each
+    block's values that differ in so many bits, which finds every library hash up to a distance. A hash that
+    has found one within it is settled and leaves; the others go on to the next round, and the last knows all.
+    Candidates are reduced to the least distance where they are found. Repeated keys and rows keep their rows.
+    """
+    asked = once(items.filter(F.col(hash_).isNotNull()).select(F.col(hash_).alias("h")).distinct())
+    known = once(library.filter(F.col("hash").isNotNull()).select(F.col("hash").alias("l")).distinct())
+    left, found, width_before = asked.withColumn("best", F.lit(None).cast("int")), [], 0
+    indexed = None
+    for width, bits in ROUNDS if not known.isEmpty() else ():
+        if width != width_before:
+            indexed = once(known.select("l", F.inline(_blocks("l", width))))
+        # A new width begins with all values of fewer bits too.
+        shells = range(bits + 1) if width != width_before else (bits,)
+        masks = [sum(1 << b for b in c) for k in shells for c in combinations(range(width), k)]
+        width_before = width
+        probes = left.select("h", F.inline(_blocks("h", width))).select("h", "i", F.explode(F.array(*map(F.lit, masks))).alias("m"), "v").select("h", "i", F.col("v").bitwiseXOR(F.col("m")).alias("v"))
+        near = probes.join(indexed, ["i", "v"]).groupBy("h").agg(F.min(distance(F.col("h"), F.col("l"))).cast("int").alias("d"))
+        radius = (64 // width) * (bits + 1) - 1
+        now = once(left.join(near, "h", "left").select("h", F.least("best", "d").alias("best")))
+        settled = F.coalesce(F.col("best") <= radius, F.lit(False))
+        found.append(now.filter(settled))
+        left = now.filter(~settled)
+        if left.isEmpty():
+            break
+    best = left
+    for f in found:
+        best = best.unionByName(f)
+    rows = items.select(key, F.col(hash_).alias("h")).join(best, "h", "left")
+    return rows.select(key, F.coalesce(1 - F.col("best") / F.lit(64.0), F.lit(0.0)).alias("best_similarity"))

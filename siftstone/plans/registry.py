@@ -266,6 +266,12 @@ _add(
     f"WITH {_LIBRARY} SELECT vec_id, near AS library_similarity FROM libhit",
 )
 
+_add(
+    "a9_best_match",
+    lambda s, d: H.best_match(hashes(s, d), planted_library(hashes(s, d)), "vec_id"),
+    f"WITH {_LIBRARY} SELECT vec_id, 1 - min(bit_count(xor(u::HUGEINT, l))) / 64.0::DOUBLE AS best_similarity FROM hh, lib GROUP BY vec_id",
+)
+
 # ---- logs, sets, samples
 
 _add(
