@@ -51,7 +51,7 @@ class Terms:
     """Numbers of a text's terms; those of white-space separated tokens met lately are kept."""
 
     def __init__(self, s: Settings):
-        self.s, self.of = s, Recent(self._of, "toxicity", 250_000)
+        self.s, self.of = s, Recent(self._of, "toxicity", 100_000)
 
     def _of(self, token: str) -> bytes:
         low, out, n, terms, crc = token.lower(), b"", self.s.prefix, self.s.terms, zlib.crc32
@@ -335,8 +335,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
 
     def clean(b: pa.RecordBatch) -> pa.RecordBatch:
         m, terms = shared.value, terms_of(settings)
-        votes = m.votes(list(map(terms.vector, plain_texts(b.column(at)))))
-        return b.filter(pa.array([m.score(raw) < settings.threshold for raw, _, _ in votes]))
+        few = (plain_texts(b.column(at).slice(i, QUERIES)) for i in range(0, b.num_rows, QUERIES))  # as many vectors at a time as are scored at once
+        return b.filter(pa.array([m.score(raw) < settings.threshold for texts in few for raw, _, _ in m.votes(list(map(terms.vector, texts)))], pa.bool_()))
 
     return by_batch(docs, clean, docs.schema, "toxicity")
 
