@@ -1,7 +1,8 @@
 """Secret scanning: candidates by pattern, false positives removed by a random forest.
 
-DataFrame and SQL functions only. Candidates are taken from the whole text with their place and
-neighbouring words; the forest, trained from labelled findings, sees length, character transitions
+DataFrame and SQL functions only. A text is cut at the matches of a pattern, so that each candidate has
+its place from the match itself and its neighbouring words from the pieces beside it; the work is linear in the
+text and its candidates. The forest, trained from labelled findings, sees length, character transitions
 (how usual each step from one character to the next is among dictionary words, and how often the kind
 of character changes), dictionary coverage, the document's path and the neighbouring words. Its trees are
 written as one SQL expression that runs inside the array of a document's candidates, so a scan moves no
@@ -21,14 +22,19 @@ from siftstone.llm.common import unused
 
 #: A long run with a digit, with all its dotted parts, or the value of an assignment to a name that holds a telling word.
 RUN = r"(?<![A-Za-z0-9+/_@-])(?=[A-Za-z+/_-]*+(?:\.[A-Za-z+/_-]++)*+\.?[0-9])[A-Za-z0-9+/_-]{16,}+(?:\.[A-Za-z0-9+/_-]++)*+={0,2}+(?![A-Za-z0-9+/_=@-])"
-ASSIGNED = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\w-]*[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{8,})"
+ASSIGNED = r"((?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\w-]*[\"']?\s{0,3}[:=]\s{0,3}[\"']?)([^\s\"',;]{8,})"
+#: Noncharacters that mark where a candidate begins and ends; in a text they count as U+FFFD.
+MARKS = "\ufdd0\ufdd1"
+#: How each pattern's matches are marked.
+KINDS = ((RUN, f"{MARKS[0]}$0{MARKS[1]}"), (ASSIGNED, f"$1{MARKS[0]}$2{MARKS[1]}"))
 TELLING = "(?i)(pass|pwd|secret|token|key|auth|bearer|credential)"
 HARMLESS = "(?i)(commit|sha|md5|hash|checksum|digest|uuid|guid|version|build|order|phone|page|item|path|file|url|http|image|id)"
 PLACEHOLDER = r"(?i)(example|sample|dummy|your[_-]|placeholder|changeme|x{4,}|0{6,}|1234567)"
 TRYOUT = "(?i)(test|example|sample|fixture|mock|doc)"
 FEATURES = ("len", "digits", "uppers", "runs", "usual", "covered", "variety", "hexed", "telling", "harmless", "assigned", "placeholder", "prefixed", "tryout")
 WORDS = 512  # of the dictionary: the most frequent ones of all documents
-NEAR = 160  # characters in which three neighbouring words are looked for
+ITEMS = 8  # blank-separated items beside a candidate in which three neighbouring words are looked for
+STRETCH = 256
 
 
 def dictionary(docs: DataFrame, text: str = "text", size: int = WORDS) -> list[str]:
@@ -101,6 +107,7 @@ def labelled_findings(spark: SparkSession, n: int = 6000, seed: int = 3) -> Data
         (0, "concat_ws('-', " + ", ".join(some(hexes, k, 18 + i) for i, k in enumerate(("8", "4", "4", "4", "12"))) + ")", pick(["id ", "uuid: ", "request ", *plain], 24)),
         (0, f"{word} || {some('0123456789', number(1, 4, 25), 26)}", pick([*plain, "page ", "item "], 27)),
         (0, some("0123456789", number(16, 24, 28), 29), pick([*plain, "phone ", "order "], 30)),
+        (0, some("0123456789", number(12, 24, 60), 61), pick(["token ", "key ", "the password ", "pass ", "token id ", "secret number ", *plain], 62)),
         (0, f"{pick(['your_api_key_here_', 'EXAMPLEKEY', 'xxxxxxxxxxxxxxxx', 'changeme_changeme_', 'sample-token-'], 31)} || {some('0123456789', '6', 32)}", pick([*keep, *plain], 33)),
         (0, f"{pick(syllables, 34)} || '/' || {word} || '/' || {pick(syllables, 35)} || {some('0123456789', '3', 36)}", pick(["path ", "see ", "url=", "in "], 37)),
     ]
@@ -143,32 +150,73 @@ def _expression(tree, f: Column) -> Column:
     return F.when(f[FEATURES[feature]] <= threshold, _expression(low, f)).otherwise(_expression(high, f))
 
 
+def _let(value: Column, f) -> Column:
+    """f(value), with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _pieces(text: Column, pattern: str, marked: str) -> Column:
+    """The text cut before and behind each match: plain, candidate, plain, and so on."""
+    return F.split(F.regexp_replace(F.translate(text, MARKS, "\ufffd\ufffd"), pattern, marked), f"[{MARKS}]", -1)
+
+
+def _starts(lengths: Column) -> Column:
+    """Where each piece begins, from 1: sums over stretches of pieces and then within each, so that no long array is copied again and again."""
+
+    def summed(start: Column, some: Column) -> Column:
+        return F.slice(F.aggregate(some, F.array(start), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n))), 1, F.size(some))
+
+    stretches = _let(lengths, lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / STRETCH).cast("int")), lambda j: F.slice(all_, j * STRETCH + 1, F.lit(STRETCH))))
+    offsets = lambda s: summed(F.lit(1), F.transform(s, lambda x: F.aggregate(x, F.lit(0), lambda a, n: a + n)))
+    return _let(stretches, lambda s: F.flatten(F.zip_with(offsets(s), s, summed)))
+
+
+def _candidates(pieces: Column) -> Column:
+    """Array of (pos, candidate, before, after), in order of place; null if there is none."""
+    blank = lambda x: F.translate(x, "\t\n\x0b\f\r", "     ")
+
+    def parts(p: Column) -> Column:
+        return F.struct(
+            p.alias("all"), _starts(F.transform(p, lambda x: F.length(x))).alias("starts"),
+            F.transform(p, lambda x: F.substring_index(blank(x), " ", -ITEMS)).alias("tails"), F.transform(p, lambda x: F.substring_index(blank(x), " ", ITEMS)).alias("heads"),
+        )
+
+    def one(s: Column, j: Column) -> Column:
+        i = j * 2
+        # Of the pieces beside it, as many as three words can need when candidates stand close together.
+        before = F.concat(*[F.when(i > k, F.element_at(s["tails"], F.greatest(i - k, F.lit(1)))).otherwise("") for k in range(7, 0, -1)])
+        after = F.concat(*[F.coalesce(F.try_element_at(s["heads"], i + k), F.lit("")) for k in range(1, 8)])
+        left, right = F.split(F.substring_index(before, " ", -ITEMS), " +"), F.split(F.substring_index(after, " ", ITEMS), " +")
+        return F.struct(
+            F.element_at(s["starts"], i).alias("pos"), F.element_at(s["all"], i).alias("candidate"),
+            _let(left, lambda w: F.array_join(F.slice(w, F.greatest(F.size(w) - 3, F.lit(1)), 4), " ")).alias("before"),  # three words, and what stands directly before
+            F.array_join(F.slice(right, 1, 4), " ").alias("after"),
+        )
+
+    each = lambda p: _let(parts(p), lambda s: F.transform(F.sequence(F.lit(1), F.floor(F.size(s["all"]) / 2).cast("int")), lambda j: one(s, j)))
+    return _let(pieces, lambda p: F.when(F.size(p) > 1, each(p)))
+
+
+def _place(docs: DataFrame, path: str) -> Column:
+    return F.coalesce(F.col(path), F.lit("")) if path in docs.columns else F.lit("")
+
+
 def found(docs: DataFrame, forest, words: list[str], name: str, text: str = "text", path: str = "source") -> DataFrame:
-    """docs with a column `name`: array of (pos from 1, candidate, score), in order of place."""
-    t, c, p, f = unused([*docs.columns, name], "_t", "_c", "_p", "_f")
-    both = F.concat(F.regexp_extract_all(t, F.lit(RUN), F.lit(0)), F.regexp_extract_all(t, F.lit(ASSIGNED), F.lit(1)))
-    # Each distinct candidate, with all its places.
-    each = F.filter(F.array_distinct(both), lambda c: c != "")
-    spots = f"filter(transform(split(`{t}`, concat('\\\\Q', replace(c, '\\\\E', ''), '\\\\E'), -1), x -> length(x)), x -> true)"
-    placed = (
-        f"flatten(transform(`{c}`, c -> transform(aggregate(slice({spots}, 1, size({spots}) - 1), CAST(array() AS array<int>), "
-        "(a, n) -> concat(a, array(n + 1 + if(size(a) = 0, 0, element_at(a, -1) + length(c) - 1)))), p -> named_struct('pos', p, 'c', c))))"
-    )
-    where = F.coalesce(F.col(path), F.lit("")) if path in docs.columns else F.lit("")
-    none = F.expr("CAST(array() AS array<struct<pos:int,c:string>>)")
-    around = docs.withColumn(t, F.coalesce(F.col(text), F.lit(""))).withColumn(c, each).withColumn(p, F.when(F.size(c) > 0, F.expr(placed)).otherwise(none))
-
-    def scored(x: Column) -> Column:
-        start = F.greatest(x["pos"] - NEAR, F.lit(1))
-        before = F.split(F.substring(F.col(t), start, x["pos"] - start), r"\s+")
-        after = F.split(F.substring(F.col(t), x["pos"] + F.length(x["c"]), F.lit(NEAR)), r"\s+")
-        left = F.array_join(F.slice(before, F.greatest(F.size(before) - 3, F.lit(1)), 4), " ")  # three words, and what stands directly before
-        right = F.array_join(F.slice(after, 1, 4), " ")
-        return F.struct(x["pos"].alias("pos"), x["c"].alias("candidate"), described(x["c"], left, right, where, words).alias("f"))
-
-    featured = around.withColumn(f, F.transform(p, scored))
+    """docs with a column `name`: array of (pos from 1, candidate, score), in order of place; a match of both patterns stands once."""
+    (f,) = unused([*docs.columns, name], "_f")
+    where = _place(docs, path)
+    none = F.expr("CAST(array() AS array<struct<pos:int,candidate:string,before:string,after:string>>)")
+    both = F.concat(*[F.coalesce(_candidates(_pieces(F.coalesce(F.col(text), F.lit("")), *kind)), none) for kind in KINDS])
+
+    def once(all_: Column) -> Column:
+        """Equal ones stand side by side."""
+        last = lambda i: F.element_at(all_, F.greatest(i, F.lit(1)))
+        return F.filter(all_, lambda x, i: (i == 0) | (last(i)["pos"] != x["pos"]) | (last(i)["candidate"] != x["candidate"]))
+
+    single = _let(F.array_sort(both), once)
+    featured = docs.withColumn(f, F.transform(single, lambda x: F.struct(x["pos"].alias("pos"), x["candidate"].alias("candidate"), described(x["candidate"], x["before"], x["after"], where, words).alias("f"))))
     scores = F.transform(f, lambda x: F.struct(x["pos"].alias("pos"), x["candidate"].alias("candidate"), forest(x["f"]).alias("score")))
-    return featured.withColumn(name, F.array_sort(scores)).select(*docs.columns, name)
+    return featured.withColumn(name, scores).select(*docs.columns, name)
 
 
 def prepared(docs: DataFrame, text: str = "text", findings: DataFrame | None = None):
@@ -192,12 +240,16 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
 def redact(docs: DataFrame, mark: str = "[SECRET]", findings: DataFrame | None = None, threshold: float = 0.5, text: str = "text", path: str = "source") -> DataFrame:
     """The documents, all columns kept, with every secret in the text replaced by the mark; other texts are unchanged.
 
-    A null or empty text stays as it is, texts of any length are read whole, a secret goes wherever it stands;
-    repeated rows are treated alike; an empty table gives an empty result.
+    Only the places where a candidate was found are replaced: first values of assignments, then, in what that
+    leaves, long runs. The same characters elsewhere, as in another word, stay. A null or empty text stays as it
+    is, texts of any length are read whole, repeated rows are treated alike; an empty table gives an empty result.
     """
     forest, words = prepared(docs, text, findings)
-    (name,) = unused(docs.columns, "_found")
-    secrets = F.array_distinct(F.transform(F.filter(name, lambda x: x["score"] >= threshold), lambda x: x["candidate"]))
-    longest_first = F.array_sort(secrets, lambda a, b: (F.length(b) - F.length(a)).cast("int"))
-    cleaned = F.aggregate(longest_first, F.col(text), lambda t, c: F.replace(t, c, F.lit(mark)))
-    return found(docs, forest, words, name, text, path).withColumn(text, cleaned).select(*docs.columns)
+    c, f = unused(docs.columns, "_pieces", "_places")
+    out, where = docs, _place(docs, path)
+    for kind in reversed(KINDS):
+        cut = out.withColumn(c, _pieces(F.col(text), *kind)).withColumn(f, _candidates(F.col(c)))
+        secret = cut.withColumn(f, F.transform(f, lambda x: _let(described(x["candidate"], x["before"], x["after"], where, words), lambda v: forest(v) >= threshold)))
+        joined = F.array_join(F.transform(c, lambda x, i: F.when((i % 2 == 1) & F.try_element_at(F.col(f), F.greatest(F.floor((i + 1) / 2), F.lit(1)).cast("int")), F.lit(mark)).otherwise(x)), "")
+        out = secret.withColumn(text, F.when(F.exists(f, lambda x: x), joined).otherwise(F.col(text))).select(*docs.columns)
+    return out
