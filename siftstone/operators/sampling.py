@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftstone.operators.rows import bounds, range_of
+from siftstone.operators.rows import bounds, range_of, ranked_within
+from siftstone.sources.scratch import once
 
 
 def order_of(key: str, seed: int) -> Column:
@@ -59,3 +62,30 @@ def shards(rows: DataFrame, n: int, key: str) -> DataFrame:
     offset = F.element_at(F.create_map(*before), F.col("_p")) if before else F.lit(0)
     numbered = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
     return numbered.withColumn("shard", F.floor((F.col("_i") - 1 + offset) / per).cast("int")).select(*rows.columns, "shard")
+
+
+def cap_checked(rows: DataFrame, n: int, key: str, check: Callable[[DataFrame], DataFrame], seed: int = 42, first_rate: float = 0.8) -> DataFrame:
+    """The n rows of least hash among those that an expensive check lets pass; few others are checked.
+
+    check(rows) gives the rows that pass, with their columns. Rows are ranked once; batches of them, in order, are
+    checked until n have passed, each batch as large as the share that has passed so far makes it likely to
+    need (a tenth more, and at least twice what is missing after an empty batch). Without n rows that pass, all
+    that pass are returned. Null and repeated keys are rows like others.
+    """
+    by = rows.withColumns({"_order": F.concat(order_of(key, seed), F.lit(":"), F.coalesce(F.col(key).cast("string"), F.lit(""))), "_all": F.lit(0)})
+    ranked = once(ranked_within(by, "_all", "_order", "_rank"))
+    total, at, passed, found = ranked.count(), 0, 0, []
+    while at < total and passed < n:
+        rate = passed / at if at and passed else first_rate / (1 + at)
+        size = max(1, min(total - at, int((n - passed) / rate * 1.1) + 1, max(2 * at, int(2 * n / first_rate))))
+        batch = ranked.filter((F.col("_rank") >= at) & (F.col("_rank") < at + size))
+        good = once(check(batch.select(*rows.columns, "_rank")).select(*rows.columns, "_rank"))
+        found.append(good)
+        passed += good.count()
+        at += size
+    if not found:
+        return ranked.select(*rows.columns).limit(0)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.orderBy("_rank").limit(n).select(*rows.columns)
