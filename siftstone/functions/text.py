@@ -36,10 +36,18 @@ def texts(lines: Column) -> Column:
     return F.transform(usable(lines), lambda x: F.substring(x["text"], 1, 120))
 
 
-def _hits(line: Column, patterns: tuple[str, ...], flags: str = "(?U)") -> Column:
-    """All matches, stripped, at most 80 characters of each."""
+def _matches(line: Column, patterns: tuple[str, ...], flags: str = "(?U)") -> Column:
     found = [F.regexp_extract_all(line, F.lit(flags + p), F.lit(0)) for p in patterns]
-    return F.transform(found[0] if len(found) == 1 else F.concat(*found), lambda m: F.substring(strip(m), 1, 80))
+    return found[0] if len(found) == 1 else F.concat(*found)
+
+
+def _shown(matches: Column) -> Column:
+    """As reports have them: stripped, at most 80 characters of each. What a match is, its whole text decides before."""
+    return F.transform(matches, lambda m: F.substring(strip(m), 1, 80))
+
+
+def _hits(line: Column, patterns: tuple[str, ...], flags: str = "(?U)") -> Column:
+    return _shown(_matches(line, patterns, flags))
 
 
 @dataclass(frozen=True)
@@ -92,7 +100,8 @@ def keywords(line: Column, held: Column) -> Column:
 
 
 def digits(text: Column) -> Column:
-    return F.regexp_replace(text, "[^0-9]", "")
+    """Decimal digits of any script."""
+    return F.regexp_replace(text, r"(?U)\D", "")
 
 
 def placeholder(text: Column) -> Column:
@@ -120,11 +129,11 @@ IN_OVERLAY = ("faster", "fastdelivery", "warehouses", "seller", "dealer", "stock
 
 
 def _numbers(line: Column, patterns: tuple[str, ...]) -> Column:
-    return F.filter(_hits(line, patterns), lambda m: ~placeholder(m))
+    return _shown(F.filter(_matches(line, patterns), lambda m: ~placeholder(m)))
 
 
 def urls(lines: Lines) -> Column:
-    return _per_line(lines, IN_URL, lambda x, _: F.filter(_hits(x, L.URL_PATTERNS), lambda m: ~company_abbreviation(m)))
+    return _per_line(lines, IN_URL, lambda x, _: _shown(F.filter(_matches(x, L.URL_PATTERNS), lambda m: ~company_abbreviation(strip(m)))))
 
 
 def emails(lines: Lines) -> Column:
@@ -161,7 +170,7 @@ def contact_weak(lines: Lines) -> Column:
 
 
 def prices(lines: Lines) -> Column:
-    return _per_line(lines, IN_PRICE, lambda x, _: F.filter(_hits(x, L.PRICE_PATTERNS, "(?iU)"), lambda m: ~part_number(m)))
+    return _per_line(lines, IN_PRICE, lambda x, _: _shown(F.filter(_matches(x, L.PRICE_PATTERNS, "(?iU)"), lambda m: ~part_number(m))))
 
 
 #: Promotional phrases with what may stand beside them.

@@ -60,10 +60,19 @@ def _re2(pattern: str) -> str:
 _SPACE = "regexp_replace(m, '^\\s+|\\s+$', '', 'g')"
 
 
-def _all(patterns, flags: str = "") -> str:
-    """All matches, stripped, at most 80 characters of each."""
+def _found(patterns, flags: str = "") -> str:
+    """All whole matches."""
     each = [f"regexp_extract_all(line, {_re2(flags + p)})" for p in patterns]
-    return f"list_transform({each[0] if len(each) == 1 else 'flatten([' + ', '.join(each) + '])'}, lambda m: substr({_SPACE}, 1, 80))"
+    return each[0] if len(each) == 1 else "flatten([" + ", ".join(each) + "])"
+
+
+def _cut(matches: str) -> str:
+    """Stripped, at most 80 characters of each."""
+    return f"list_transform({matches}, lambda m: substr({_SPACE}, 1, 80))"
+
+
+def _all(patterns) -> str:
+    return _cut(_found(patterns))
 
 
 def _words(words) -> str:
@@ -73,22 +82,22 @@ def _words(words) -> str:
     return "list_filter([" + ", ".join(f"CASE WHEN {one(w)} THEN {_quoted(w)} END" for w in words) + "], lambda x: x IS NOT NULL)"
 
 
-_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_DIGITS = "regexp_replace(m, '[^\\p{Nd}]', '', 'g')"
 _REAL = (
     f"length({_DIGITS}) >= 7 AND {_DIGITS} NOT IN ('1234567890', '0123456789', '9876543210', '0987654321') AND len(list_distinct(string_split({_DIGITS}, ''))) > 2"
     f" AND NOT contains('0123456789', {_DIGITS}) AND NOT contains('9876543210', {_DIGITS})"
 )
-_COMPANY = "regexp_extract(regexp_replace(m, '[/.]+$', ''), '^(.*)\\.[^.]*$', 1) IN (" + ", ".join(_quoted(x) for x in L.COMPANY_LABELS) + ")"
+_COMPANY = "regexp_extract(regexp_replace(" + _SPACE + ", '[/.]+$', ''), '^(.*)\\.[^.]*$', 1) IN (" + ", ".join(_quoted(x) for x in L.COMPANY_LABELS) + ")"
 
 
 def _numbers(patterns) -> str:
-    return f"list_filter({_all(patterns)}, lambda m: {_REAL})"
+    return _cut(f"list_filter({_found(patterns)}, lambda m: {_REAL})")
 
 
-_URLS = f"list_filter({_all(L.URL_PATTERNS)}, lambda m: NOT {_COMPANY})"
+_URLS = _cut(f"list_filter({_found(L.URL_PATTERNS)}, lambda m: NOT {_COMPANY})")
 _EMAILS = _all(L.EMAIL_PATTERNS)
 _CONTACTS = f"flatten([{_EMAILS}, {_numbers(L.PHONE_PATTERNS)}, {_numbers(L.US_PHONE_PATTERNS)}, {_all(L.QQ_PATTERNS)}, {_words(L.CONTACT_KEYWORDS)}])"
-_PRICES = f"list_filter({_all(L.PRICE_PATTERNS, '(?i)')}, lambda m: NOT (length({_DIGITS}) > 6 AND NOT contains(m, '.')))"
+_PRICES = _cut(f"list_filter({_found(L.PRICE_PATTERNS, '(?i)')}, lambda m: NOT (length({_DIGITS}) > 6 AND NOT contains(m, '.')))")
 _PHRASES = "flatten([" + ", ".join(f"regexp_extract_all(line, {_quoted('(?:^|[^a-z0-9])(' + p + ')(?:[^a-z0-9]|$)')}, 1)" for p in L.PROMO_PHRASES) + "])"
 _IGNORED = "regexp_matches(line, " + _quoted("|".join(L.PROMO_IGNORE_PHRASES)) + ")"
 _HITS = {

@@ -30,6 +30,16 @@ def test_text_cases(spark):
     assert {CASES[r.id][0]: (r.decision, r.rule) for r in got} == {t: (d, r) for t, d, r in CASES}
 
 
+def test_a_match_is_judged_whole_and_shown_short(spark):
+    """What decides is the whole match; reports have 80 characters of it. Digits are those of any script."""
+    lines = ["$" + "1" * 90 + ".50", "$" + "1" * 90, "电话：１３８１２３４５６７８", "tel: １２３４５６７８９０", "https://" + "a" * 100 + ".com/x"]
+    df = spark.createDataFrame([(i, [(x, 0.9)]) for i, x in enumerate(lines)], "id int, lines array<struct<text:string,conf:double>>")
+    got = {r.id: r for r in T.analyzed(df).select("id", F.col("_a_prices").alias("prices"), F.col("_a_contacts").alias("contacts"), F.col("_a_urls").alias("urls")).collect()}
+    assert len(got[0].prices) >= 1 and all(len(p) <= 80 for p in got[0].prices) and not got[1].prices
+    assert any("１３８１２３４５６７８" in c for c in got[2].contacts)
+    assert [len(u) for u in got[4].urls] == [80] * len(got[4].urls) and got[4].urls
+
+
 def test_feature_cases(spark):
     made = [
         (item(0, ok=False), "MOVE"), (item(1, w=79), "MOVE"), (item(2, w=80, h=99), "MOVE"), (item(3, w=80, h=100), "REVIEW"), (item(4, std=4.99, uniform=0.97), "MOVE"),
