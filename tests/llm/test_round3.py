@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from siftstone.llm import byte_bpe, conversation_trie, vector_codes
+from siftstone.llm import byte_bpe, conversation_trie, near_copies, vector_codes
 
 
 def plain_trie(rows):
@@ -179,3 +179,37 @@ def test_byte_tables_of_odd_rows(spark):
     back = byte_bpe.decode(byte_bpe.encode(df, PATH, public_tokenizers.PATTERN), PATH, public_tokenizers.PATTERN)
     assert sorted((r.doc_id or 0, bytes(r.decoded).decode()) for r in back.collect()) == sorted((i or 0, x or "") for i, x, *_ in rows)
     assert byte_bpe.round_trip(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("box", [400, 3000])
+def test_near_copies_in_boxes_by_brute_force(spark, monkeypatch, box):
+    """A large class is cut by size and into parts that meet two by two; classes are those of all pairs."""
+    monkeypatch.setattr(near_copies, "BOX", box)
+    rng = random.Random(box)
+    words = [f"w{i}" for i in range(4000)]
+    lead = " ".join(words[:40])  # a template that many share, in texts of several sizes
+    texts = []
+    for base in range(6):
+        body = [rng.choice(words) for _ in range(rng.choice([15, 40, 90]))]
+        for _ in range(45):
+            mine = list(body)
+            for _ in range(rng.choice([0, 0, 1, 2, 9])):
+                mine[rng.randrange(len(mine))] = rng.choice(words)
+            texts.append(lead + " " + " ".join(mine[: rng.choice([len(mine), len(mine) - 2])]))
+    texts += [lead + f" {a}" for a in words[:80]] + [texts[0], texts[0], "", None, "lone"]
+    rng.shuffle(texts)
+    df = spark.createDataFrame([(i, x, "x") for i, x in enumerate(texts)] + [(None, "lone", "y")], "doc_id long, text string, component string")
+    sets = [set(near_copies.shingles((x or "").encode()).tolist()) for x in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if 5 * both >= 4 * (len(a) + len(sets[j]) - both):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    assert {r.doc_id: r.component_id for r in near_copies.classes(df).collect()} == {i: top(i) for i in range(len(texts))}
