@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.operators import moves, sampling, training
+from siftstone.operators import cachelog, moves, sampling, training
 from siftstone.plans.standin import table
 from siftstone.sources import pictures
 from siftstone.sources.scratch import new_folder
@@ -98,3 +98,17 @@ def _back(s: SparkSession, d: str) -> DataFrame:
 
 
 _add("k19_taken_back", _back, "SELECT 'in/f' || doc_id || '.webp' AS file, 1 + doc_id % 9 AS bytes FROM documents")
+
+
+def _cached(s: SparkSession, d: str) -> DataFrame:
+    """Values of all documents' keys from a log of two appends, the second with newer values for some."""
+    path, i = new_folder(s, "cache"), F.col("doc_id")
+    rows = table(s, d, "documents").select(i, F.concat(F.lit("/p/"), i.cast("string")).alias("path"))
+    cachelog.append(rows.filter("doc_id % 3 < 2").withColumn("lines", F.lit("first")), path)
+    cachelog.append(rows.filter("doc_id % 5 = 0").withColumn("lines", F.lit("second")), path)
+    found, _ = cachelog.lookup(rows, path)
+    absent = cachelog.missing(rows, path).select("path", F.lit(None).cast("string").alias("lines"))
+    return found.unionByName(absent)
+
+
+_add("k10_j2_cache_log", _cached, "SELECT '/p/' || doc_id AS path, CASE WHEN doc_id % 5 = 0 THEN 'second' WHEN doc_id % 3 < 2 THEN 'first' END AS lines FROM documents")
