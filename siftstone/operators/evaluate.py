@@ -54,3 +54,39 @@ def triage(missed: DataFrame) -> DataFrame:
     a = F.col("analysis")
     said = (F.size(a["urls"]) > 0) | (F.size(a["promo_weak"]) > 0) | (F.size(a["contact_weak"]) > 0)
     return missed.withColumn("action", F.when(said, "add_hash").otherwise("model_miss"))
+
+
+def false_moves_by_rule(outcomes: DataFrame) -> DataFrame:
+    """(rule, n) of moves that people did not make."""
+    return outcomes.filter("outcome = 'FP'").groupBy("rule").agg(F.count("*").alias("n"))
+
+
+def compared(ours: DataFrame, theirs: DataFrame, name: str = "filename") -> DataFrame:
+    """(name, side): each name of either table once, as "both", "ours" or "theirs". Null names are left out."""
+    side = lambda rows, flag: rows.select(F.lower(name).alias(name)).filter(F.col(name).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    whole = side(ours, "_a").join(side(theirs, "_b"), name, "full")
+    return whole.select(name, F.when(F.col("_a") & F.col("_b"), "both").when(F.col("_a"), "ours").otherwise("theirs").alias("side"))
+
+
+def retrospect(sides: DataFrame) -> DataFrame:
+    """One row from `compared`: ours, human, both, and the share of ours that people did not move."""
+    count = lambda *s: F.count_if(F.col("side").isin(*s))
+    n = sides.agg(count("both", "ours").alias("ours"), count("both", "theirs").alias("human"), count("both").alias("both"))
+    return n.withColumn("false_share", ratio(F.col("ours") - F.col("both"), F.col("ours")))
+
+
+def class_balance(rows: DataFrame, label: str) -> DataFrame:
+    """(label, n); null is a class of its own."""
+    return rows.groupBy(label).agg(F.count("*").alias("n"))
+
+
+def status(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """One row: total, done, pct (whole percent, 0 of nothing)."""
+    known = done.select(key).distinct().withColumn("_done", F.lit(1))
+    n = rows.join(known, key, "left").agg(F.count("*").alias("total"), F.count("_done").alias("done"))
+    return n.withColumn("pct", F.coalesce(F.round(100 * F.try_divide("done", "total")), F.lit(0.0)))
+
+
+def progress_blocks(rows: DataFrame, place: str, size: int = 500) -> DataFrame:
+    """(block, n): rows done in each block of `size` places, known by its first place."""
+    return rows.select((F.floor(F.col(place) / size) * size).alias("block")).groupBy("block").agg(F.count("*").alias("n"))

@@ -96,3 +96,34 @@ def clash_names(moves: DataFrame, name: str = "filename", order: str = "path", t
 
 def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
+
+
+def unseen(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows whose key isn't among those done; a null key is never done."""
+    return rows.join(done.select(key).distinct(), key, "left_anti").select(*rows.columns)
+
+
+def present(rows: DataFrame, there: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among those there."""
+    return rows.join(there.select(key).distinct(), key, "left_semi").select(*rows.columns)
+
+
+def with_original(items: DataFrame, index: DataFrame) -> DataFrame:
+    """Adds orig_path: the index's path of the item's filename, else its own. The index has a row a filename."""
+    known = index.select("filename", F.col("orig_path").alias("_orig"))
+    return items.join(known, "filename", "left").withColumn("orig_path", F.coalesce("_orig", "path")).select(*items.columns, "orig_path")
+
+
+def fingerprinted(rows: DataFrame, content: str, length: int = 32) -> DataFrame:
+    """Adds fingerprint: the first characters of the content's MD5; null for null."""
+    return rows.withColumn("fingerprint", F.substring(F.md5(content), 1, length))
+
+
+def duplicate_groups(rows: DataFrame, key: str = "md5") -> DataFrame:
+    """(key, n) of keys that several rows have; rows without a key are no group."""
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def newest_first(rows: DataFrame, path: str = "path") -> DataFrame:
+    """Rows in falling order of path, as runs take them."""
+    return rows.orderBy(F.desc(path))

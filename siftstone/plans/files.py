@@ -410,12 +410,11 @@ _human = lambda s, d: table(s, d, "labels").filter("quality = 0").select(F.conca
 _add("k15_hard_negatives", lambda s, d: O.hard_negatives(_ours(s, d), _human(s, d), "/ours"), "SELECT '/ours/f' || doc_id AS path FROM labels WHERE toxic = 1 EXCEPT SELECT '/ours/f' || doc_id FROM labels WHERE quality = 0")
 _add(
     "a14_k16_retrospect",
-    lambda s, d: _ours(s, d).withColumn("o", F.lit(1)).join(_human(s, d).withColumn("h", F.lit(1)), "filename", "full").agg(F.count("o").alias("ours"), F.count("h").alias("human"), F.count_if(F.col("o").isNotNull() & F.col("h").isNotNull()).alias("both"))
-    .select("ours", "human", "both", F.round(E.ratio(F.col("ours") - F.col("both"), F.col("ours")), 9).alias("false_share")),
+    lambda s, d: E.retrospect(E.compared(_ours(s, d), _human(s, d))).withColumn("false_share", F.round("false_share", 9)),
     "WITH o AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1), h AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 0), n AS (SELECT (SELECT count(*) FROM o) AS ours, (SELECT count(*) FROM h) AS human, (SELECT count(*) FROM o JOIN h USING (doc_id)) AS both) "
     'SELECT ours, human, "both", round(CASE WHEN ours = 0 THEN 0 ELSE (ours - "both") / ours::DOUBLE END, 9) AS false_share FROM n',
 )
-_add("a12_class_balance", lambda s, d: table(s, d, "labels").groupBy("quality").agg(F.count("*").alias("n")), "SELECT quality, count(*) AS n FROM labels GROUP BY quality")
+_add("a12_class_balance", lambda s, d: E.class_balance(table(s, d, "labels"), "quality"), "SELECT quality, count(*) AS n FROM labels GROUP BY quality")
 _path = lambda s, d, cond, folder: table(s, d, "labels").filter(cond).select(F.concat(F.lit(f"/{folder}/f"), F.col("doc_id").cast("string")).alias("path"))
 _add(
     "m6_u4_u5_j10_training_set",
@@ -431,14 +430,14 @@ _add(
     "FROM labels l LEFT JOIN sig ON sig.doc_id = l.doc_id WHERE quality = 0 AND l.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)",
 )
 _add("o12_shuffled", lambda s, d: S.sample(_docs(s, d).select("doc_id"), 1 << 30, "doc_id", 7).limit(25), "SELECT doc_id FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 25")
-_add("o1_o6_order", lambda s, d: _docs(s, d).select(_name().alias("path")).orderBy(F.desc("path")).limit(30), "SELECT 'img_' || doc_id || '.jpg' AS path FROM documents ORDER BY path DESC LIMIT 30")
+_add("o1_o6_order", lambda s, d: R.newest_first(_docs(s, d).select(_name().alias("path"))).limit(30), "SELECT 'img_' || doc_id || '.jpg' AS path FROM documents ORDER BY path DESC LIMIT 30")
 _add(
-    "a15_progress", lambda s, d: _docs(s, d).select((F.floor(F.col("doc_id") / 500) * 500).alias("block")).groupBy("block").agg(F.count("*").alias("n")),
+    "a15_progress", lambda s, d: E.progress_blocks(_docs(s, d), "doc_id"),
     "SELECT CAST(floor(doc_id / 500) * 500 AS BIGINT) AS block, count(*) AS n FROM documents GROUP BY 1",
 )
-_add("t30_paths", lambda s, d: _docs(s, d).select("doc_id", R.basename(F.concat(F.lit("/a.b/C/"), _name())).alias("base"), F.lower(F.regexp_extract(_name(), r"(\.[^./]*)$", 1)).alias("ext")), "SELECT doc_id, 'img_' || doc_id || '.jpg' AS base, '.jpg' AS ext FROM documents")
+_add("t30_paths", lambda s, d: _docs(s, d).select("doc_id", R.basename(F.concat(F.lit("/a.b/C/"), _name())).alias("base"), readers.extension(_name()).alias("ext")), "SELECT doc_id, 'img_' || doc_id || '.jpg' AS base, '.jpg' AS ext FROM documents")
 _add(
-    "t31_t32_json_times", lambda s, d: table(s, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("at")),
+    "t31_t32_json_times", lambda s, d: table(s, d, "events").select("event_id", readers.json_field("props", "k", "bigint").alias("k"), readers.iso_time("ts").alias("at")),
     "SELECT event_id, (props->>'$.k')::BIGINT AS k, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS at FROM events",
 )
 

@@ -257,14 +257,13 @@ _add(
 p AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS pr, CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS re FROM c)
 SELECT round(pr, 9) AS precision, round(re, 9) AS recall, round(CASE WHEN pr + re = 0 THEN 0 ELSE 2 * pr * re / (pr + re) END, 9) AS f1, round(CASE WHEN n = 0 THEN 0 ELSE (tp + tn) / n END, 9) AS agreement FROM p""",
 )
-_add("a5_false_moves_by_rule", lambda s, d: outcomes(s, d).filter("outcome = 'FP'").groupBy("rule").agg(F.count("*").alias("n")), f"WITH {_DECIDED} SELECT rule, count(*) AS n FROM outcome WHERE outcome = 'FP' GROUP BY rule")
+_add("a5_false_moves_by_rule", lambda s, d: E.false_moves_by_rule(outcomes(s, d)), f"WITH {_DECIDED} SELECT rule, count(*) AS n FROM outcome WHERE outcome = 'FP' GROUP BY rule")
 _add("a7_missed_by_score", lambda s, d: E.missed_by_score(outcomes(s, d)), f"WITH {_DECIDED} SELECT CASE WHEN prob IS NULL THEN 'none' WHEN prob < 0.15 THEN '<0.15' WHEN prob < 0.2 THEN '0.15-0.2' ELSE '>=0.2' END AS bucket, count(*) AS n FROM outcome WHERE outcome = 'FN' GROUP BY 1")
 _add("f23_triage", lambda s, d: E.triage(outcomes(s, d).filter("outcome = 'FN'")).select("doc_id", "action"), f"WITH {_DECIDED} SELECT doc_id, CASE WHEN urls OR promo_weak OR contact_weak THEN 'add_hash' ELSE 'model_miss' END AS action FROM outcome WHERE outcome = 'FN'")
-_moved = lambda s, d: final(s, d).filter("decision = 'MOVE'").select(F.lower("filename").alias("filename"))
-_named = lambda s, d: human(s, d).select(F.lower("filename").alias("filename"))
-_add("u1_both", lambda s, d: _moved(s, d).intersect(_named(s, d)), f"WITH {_DECIDED} SELECT filename FROM final WHERE decision = 'MOVE' INTERSECT SELECT name FROM human")
-_add("u2_only_ours", lambda s, d: _moved(s, d).subtract(_named(s, d)), f"WITH {_DECIDED} SELECT filename FROM final WHERE decision = 'MOVE' EXCEPT SELECT name FROM human")
-_add("u3_only_theirs", lambda s, d: _named(s, d).subtract(_moved(s, d)), f"WITH {_DECIDED} SELECT name AS filename FROM human EXCEPT SELECT filename FROM final WHERE decision = 'MOVE'")
+_side = lambda which: lambda s, d: E.compared(final(s, d).filter("decision = 'MOVE'"), human(s, d)).filter(F.col("side") == which).select("filename")
+_add("u1_both", _side("both"), f"WITH {_DECIDED} SELECT filename FROM final WHERE decision = 'MOVE' INTERSECT SELECT name FROM human")
+_add("u2_only_ours", _side("ours"), f"WITH {_DECIDED} SELECT filename FROM final WHERE decision = 'MOVE' EXCEPT SELECT name FROM human")
+_add("u3_only_theirs", _side("theirs"), f"WITH {_DECIDED} SELECT name AS filename FROM human EXCEPT SELECT filename FROM final WHERE decision = 'MOVE'")
 
 # ---- hashes
 
@@ -297,15 +296,15 @@ _add(
 )
 _add(
     "j2_unseen",
-    lambda s, d: table(s, d, "documents").select("doc_id").join(table(s, d, "labels").select("doc_id"), "doc_id", "left_anti"),
+    lambda s, d: R.unseen(table(s, d, "documents").select("doc_id"), table(s, d, "labels"), "doc_id"),
     "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 )
 _add(
     "j1_index",
-    lambda s, d: items(s, d).join(table(s, d, "labels").select(F.concat(F.lit("img_"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("filename"), F.concat(F.lit("/orig/"), F.col("doc_id").cast("string")).alias("orig")).distinct(), "filename", "left").select("doc_id", F.coalesce("orig", "path").alias("orig_path")),
+    lambda s, d: R.with_original(items(s, d), table(s, d, "labels").select(F.concat(F.lit("img_"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("filename"), F.concat(F.lit("/orig/"), F.col("doc_id").cast("string")).alias("orig_path")).distinct()).select("doc_id", "orig_path"),
     "SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN '/orig/' || d.doc_id ELSE '/batch/images/img_' || d.doc_id || '.jpg' END AS orig_path FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id",
 )
-_add("j12_present", lambda s, d: final(s, d).filter("decision = 'MOVE'").join(table(s, d, "labels").select("doc_id"), "doc_id", "left_semi").select("doc_id"), f"WITH {_DECIDED} SELECT doc_id FROM final WHERE decision = 'MOVE' AND doc_id IN (SELECT doc_id FROM labels)")
+_add("j12_present", lambda s, d: R.present(final(s, d).filter("decision = 'MOVE'"), table(s, d, "labels"), "doc_id").select("doc_id"), f"WITH {_DECIDED} SELECT doc_id FROM final WHERE decision = 'MOVE' AND doc_id IN (SELECT doc_id FROM labels)")
 _add(
     "w2_clash_names",
     lambda s, d: R.clash_names(table(s, d, "documents").select(F.concat("source", F.lit(".webp")).alias("filename"), F.format_string("/p/%012d", "doc_id").alias("path"))).select("path", "target"),
@@ -335,11 +334,11 @@ _add(
     ),
     "SELECT doc_id, 1 AS label FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, 0 FROM labels WHERE quality = 1 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)",
 )
-_add("p13_fingerprint", lambda s, d: table(s, d, "documents").select("doc_id", F.substring(F.md5("text"), 1, 16).alias("fingerprint")), "SELECT doc_id, substr(md5(text), 1, 16) AS fingerprint FROM documents")
-_add("a13_duplicate_groups", lambda s, d: table(s, d, "documents").groupBy(F.md5("text").alias("md5")).agg(F.count("*").alias("n")).filter("n > 1"), "SELECT md5(text) AS md5, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+_add("p13_fingerprint", lambda s, d: R.fingerprinted(table(s, d, "documents"), "text", 16).select("doc_id", "fingerprint"), "SELECT doc_id, substr(md5(text), 1, 16) AS fingerprint FROM documents")
+_add("a13_duplicate_groups", lambda s, d: R.duplicate_groups(R.fingerprinted(table(s, d, "documents"), "text").withColumnRenamed("fingerprint", "md5")), "SELECT md5(text) AS md5, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
 _add(
     "p19_status",
-    lambda s, d: table(s, d, "documents").join(table(s, d, "labels").select("doc_id").distinct().withColumn("y", F.lit(1)), "doc_id", "left").agg(F.count("*").alias("total"), F.count("y").alias("done")).withColumn("pct", F.coalesce(F.round(100 * F.try_divide("done", "total")), F.lit(0.0))),
+    lambda s, d: E.status(table(s, d, "documents"), table(s, d, "labels"), "doc_id"),
     "SELECT count(*) AS total, count(l.doc_id) AS done, CASE WHEN count(*) = 0 THEN 0 ELSE round(100.0::DOUBLE * count(l.doc_id) / count(*)) END AS pct FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id",
 )
 

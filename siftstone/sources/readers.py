@@ -121,3 +121,18 @@ def report(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".json"):
         return spark.read.option("multiLine", True).json(path).select(F.explode("results").alias("r")).select("r.*")
     return spark.read.option("header", True).csv(path)
+
+
+def json_field(column: str, field: str, kind: str) -> Column:
+    """A field of a JSON text; null where the text or the field isn't there or isn't of the kind."""
+    return F.get_json_object(column, f"$.{field}").try_cast(kind)
+
+
+def iso_time(column: str) -> Column:
+    """A time to the second as reports and logs write it."""
+    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def extension(path: Column) -> Column:
+    """The lower-case ending with its dot, empty if there is none."""
+    return F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1))
