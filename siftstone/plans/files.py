@@ -469,3 +469,34 @@ _add(
     f"WITH p AS ({_GREY}), c AS (SELECT vec_id, {_at(_mirror('(y - 1)'), 'x')} + {_at(_mirror('(y + 1)'), 'x')} + {_at('y', _mirror('(x - 1)'))} + {_at('y', _mirror('(x + 1)'))} - 4 * {_at('y', 'x')} AS l "
     "FROM p, range(8) a(y), range(8) b(x)) SELECT vec_id, round(var_pop(l), 6) AS blur_var FROM c GROUP BY vec_id",
 )
+
+# ---- logs that grow, lists for training
+
+
+def _appended(s: SparkSession, d: str) -> DataFrame:
+    """A row log written by three runs; the last row of a path counts."""
+    folder, i = new_folder(s, "log"), F.col("doc_id")
+    rows = _docs(s, d).select(F.concat(F.lit("/p/"), (i % 300).cast("string")).alias("_path"), _name().alias("文件名"), i.alias("v"))
+    edges = [None, *(rows.agg(F.expr("percentile_approx(v, array(0.3, 0.6), 10000)").alias("q")).first().q or [0, 0]), None]
+    for low, high in zip(edges, edges[1:], strict=False):
+        part = rows if low is None else rows.filter(F.col("v") > low)
+        part = part if high is None else part.filter(F.col("v") <= high)
+        # A run writes its rows in order, in files whose names come after those of earlier runs.
+        sinks.append_rows(part.coalesce(1).sortWithinPartitions("v"), f"{folder}/run={len(str(low or '')):03d}-{low or 0:020d}")
+    return readers.row_log(s, f"{folder}/*", "_path string, `文件名` string, v long").select(F.col("_path").alias("path"), "v")
+
+
+_add("k5_row_log_appended", _appended, "SELECT '/p/' || doc_id % 300 AS path, max(doc_id) AS v FROM documents GROUP BY 1")
+
+
+def _lists(s: SparkSession, d: str) -> DataFrame:
+    """Training lists written and read back."""
+    folder, labels = new_folder(s, "lists"), table(s, d, "labels")
+    at = F.concat(F.lit("/b/"), F.col("doc_id").cast("string"), F.lit(".jpg"))
+    for name, cond in (("pos", "toxic = 1"), ("neg", "toxic = 0")):
+        sinks.write_paths(labels.filter(cond).select(at.alias("path")).unionByName(labels.filter(cond).select(at.alias("path"))), f"{folder}/{name}")
+    read = lambda name, y: readers.path_list(s, f"{folder}/{name}").withColumn("label", F.lit(y))
+    return read("pos", 1).unionByName(read("neg", 0))
+
+
+_add("k21_training_lists", _lists, "SELECT DISTINCT '/b/' || doc_id || '.jpg' AS path, toxic AS label FROM labels WHERE toxic IN (0, 1)")

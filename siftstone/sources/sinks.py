@@ -90,3 +90,9 @@ def undo_plan(log: DataFrame, present: DataFrame, seq: str = "seq") -> DataFrame
     here = present.select("path").distinct()
     back = log.join(here.withColumnRenamed("path", "dst"), "dst", "left_semi").join(here.withColumnRenamed("path", "src"), "src", "left_anti")
     return back.orderBy(F.desc(seq))
+
+
+def write_paths(rows: DataFrame, path: str, column: str = "path") -> None:
+    """A list of paths, one a line, each once and in order, as `readers.path_list` reads it; null and blank paths are left out."""
+    listed = rows.filter(F.trim(column) != "").select(F.col(column).alias("value")).distinct()
+    listed.repartitionByRange("value").sortWithinPartitions("value").write.mode("overwrite").text(path)

@@ -95,3 +95,30 @@ def test_moves_survive_a_fault(spark, tmp_path):
     assert tuple(moves.counts(back).first()) == (40, 0) and (tmp_path / "files/a/f2").read_text() == "new" and (tmp_path / "files/c/2/f2").exists() and (tmp_path / "files/a/f7").read_text() == "body 7"
     with pytest.raises(Exception, match="no finished"):
         moves.carry_out(spark, root, str(tmp_path / "nowhere"))
+
+
+def test_batches_and_small_tables(spark, tmp_path, monkeypatch):
+    from siftstone.operators import evaluate, rows
+    from siftstone.sources import batches, readers, sinks
+
+    (tmp_path / "one/images").mkdir(parents=True)
+    (tmp_path / "two/Pass").mkdir(parents=True)
+    (tmp_path / "three").mkdir()
+    at = str(tmp_path)
+    assert batches.resolve(f"{at}/one/") == (f"{at}/one/images", f"{at}/one") and batches.resolve(f"{at}/one/images") == (f"{at}/one/images", f"{at}/one")
+    assert batches.resolve(f"{at}/two/Pass") == (f"{at}/two/Pass", f"{at}/two") and batches.resolve(f"{at}/three") == (f"{at}/three", f"{at}/three")
+    with pytest.raises(NotADirectoryError):
+        batches.resolve(f"{at}/none")
+    (tmp_path / "batch.txt").write_text(f"{at}/three\n")
+    assert batches.current(spark, f"{at}/batch.txt", "SOME_BATCH", "/d") == f"{at}/three" and batches.current(spark, f"{at}/none.txt", None, "/d") == "/d"
+    monkeypatch.setenv("SOME_BATCH", f"{at}/one")
+    assert batches.current(spark, f"{at}/batch.txt", "SOME_BATCH") == f"{at}/one"
+    paths = spark.createDataFrame([("b",), ("a",), ("a",), (None,), (" ",)], "path string")
+    sinks.write_paths(paths, f"{at}/list")
+    assert [r.path for r in readers.path_list(spark, f"{at}/list").orderBy("path").collect()] == ["a", "b"]
+    ours, theirs = spark.createDataFrame([("A",), ("b",), (None,)], "filename string"), spark.createDataFrame([("B",), ("c",)], "filename string")
+    sides = evaluate.compared(ours, theirs)
+    assert {r.filename: r.side for r in sides.collect()} == {"a": "ours", "b": "both", "c": "theirs"} and tuple(evaluate.retrospect(sides).first()) == (2, 2, 1, 0.5)
+    assert evaluate.status(paths, paths.limit(0), "path").first().pct == 0 and evaluate.status(paths.limit(0), paths, "path").first().pct == 0
+    assert [r.path for r in rows.unseen(paths, spark.createDataFrame([("a",)], "path string"), "path").collect() if r.path and r.path != " "] == ["b"]
+    assert [tuple(r) for r in rows.duplicate_groups(paths, "path").collect()] == [("a", 2)] and rows.present(paths, paths.limit(0), "path").count() == 0
