@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.operators import cachelog, moves, sampling, training
-from siftstone.plans.standin import table
+from siftstone.operators import cachelog, learning, moves, sampling, training
+from siftstone.plans.registry import _LIBRARY
+from siftstone.plans.standin import hashes, planted_library, table
 from siftstone.sources import pictures
 from siftstone.sources.scratch import new_folder
 
@@ -112,3 +113,19 @@ def _cached(s: SparkSession, d: str) -> DataFrame:
 
 
 _add("k10_j2_cache_log", _cached, "SELECT '/p/' || doc_id AS path, CASE WHEN doc_id % 5 = 0 THEN 'second' WHEN doc_id % 3 < 2 THEN 'first' END AS lines FROM documents")
+
+
+def _learned(s: SparkSession, d: str) -> DataFrame:
+    """Vectors' verdicts after the loop: every fourth is moved to begin with, people moved every third, the text of three in five says something."""
+    i, found = F.col("vec_id"), hashes(s, d)
+    items = found.select(i, F.when(i % 4 == 0, "MOVE").otherwise("KEEP").alias("decision"), "phash", (i % 5 < 3).alias("said"))
+    out, _, _ = learning.learn(items, found.filter("vec_id % 3 = 0"), planted_library(found), key="vec_id")
+    return out.select("vec_id", "decision", F.col("learned_in").isNotNull().alias("learned"))
+
+
+_add(
+    "m7_learning_loop", _learned,
+    f"WITH {_LIBRARY}, own AS (SELECT DISTINCT u::HUGEINT AS l FROM hh WHERE vec_id % 4 <> 0 AND vec_id % 3 = 0 AND vec_id % 5 < 3 AND u::HUGEINT NOT IN (SELECT l FROM lib)), "
+    "hit AS (SELECT DISTINCT vec_id FROM hh, own WHERE vec_id % 4 <> 0 AND bit_count(xor(u::HUGEINT, l)) <= 1) "
+    "SELECT vec_id, CASE WHEN vec_id % 4 = 0 OR vec_id IN (SELECT vec_id FROM hit) THEN 'MOVE' ELSE 'KEEP' END AS decision, vec_id IN (SELECT vec_id FROM hit) AS learned FROM hh",
+)

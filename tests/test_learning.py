@@ -122,3 +122,30 @@ def test_batches_and_small_tables(spark, tmp_path, monkeypatch):
     assert evaluate.status(paths, paths.limit(0), "path").first().pct == 0 and evaluate.status(paths.limit(0), paths, "path").first().pct == 0
     assert [r.path for r in rows.unseen(paths, spark.createDataFrame([("a",)], "path string"), "path").collect() if r.path and r.path != " "] == ["b"]
     assert [tuple(r) for r in rows.duplicate_groups(paths, "path").collect()] == [("a", 2)] and rows.present(paths, paths.limit(0), "path").count() == 0
+
+
+@pytest.mark.parametrize("per_pass", [None, 3])
+def test_the_loop_is_that_of_judging_all_again(spark, per_pass):
+    from siftstone.operators import learning
+
+    rng = np.random.default_rng(8)
+    centres = rng.integers(0, 1 << 62, 12)
+    hashes = [int(centres[i % 12]) ^ (1 << int(rng.integers(62)) if rng.random() < 0.6 else 0) if rng.random() < 0.9 else None for i in range(160)]
+    rows = [(f"f{i}", ["KEEP", "MOVE", "REVIEW"][int(rng.integers(3))], h, bool(rng.random() < 0.5)) for i, h in enumerate(hashes)]
+    human, library = {f"f{i}" for i in range(0, 160, 3)} | {"other"}, {hashes[1] or 5, 77}
+    df = spark.createDataFrame(rows, "filename string, decision string, phash long, said boolean")
+    out, known, n = learning.learn(df, spark.createDataFrame([(x,) for x in human], "filename string"), spark.createDataFrame([(x,) for x in library], "hash long"), per_pass)
+    state, lib, learned, passes = {k: d for k, d, _, _ in rows}, set(library), {}, 0
+    while True:
+        new = {h for k, _, h, s in rows if state[k] != "MOVE" and k in human and s and h is not None} - lib
+        if per_pass is not None:
+            new = set(sorted(new, key=lambda h: (hashlib.md5(f"42:{h}".encode()).hexdigest(), h))[:per_pass])
+        if not new:
+            break
+        passes += 1
+        lib |= new
+        for k, _, h, _ in rows:  # everything is judged again
+            if state[k] != "MOVE" and h is not None and any((h ^ x).bit_count() <= 1 for x in new):
+                state[k], learned[k] = "MOVE", passes
+    assert {r.filename: (r.decision, r.learned_in) for r in out.collect()} == {k: (d, learned.get(k)) for k, d in state.items()}
+    assert {r.hash for r in known.collect()} == lib and n == passes > 0
