@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
@@ -105,6 +106,12 @@ def plain_texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def release(spark: SparkSession) -> None:
+    """Tables and exchanges that nothing refers to any more give their files back now, not when the driver next collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unused(columns: list[str], *names: str) -> list[str]:
     """The names, lengthened until no column has them (Spark's columns are told apart without regard to case)."""
     taken = {c.lower() for c in columns}
