@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.operators import pixels as P
-from siftstone.plans.standin import table
+from siftstone.plans.standin import grey, table
 from siftstone.sources import pictures
 from siftstone.sources.scratch import new_folder
 
@@ -26,7 +26,7 @@ def _add(name: str, query, sql: str) -> None:
 
 def files(s: SparkSession, d: str, scale: int = 1) -> DataFrame:
     """(path, content): a file for each vector, in ten folders; scale: how many times wider and higher than 8 pixels."""
-    v = F.transform("embedding", lambda x: F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), 128 + 64 * x.cast("double")))).cast("int"))
+    v = F.transform("embedding", lambda x: F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), grey(x)))).cast("int"))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
