@@ -1,11 +1,13 @@
-"""Nearest vectors by largest cosine: four-bit codes with a score-aware loss, table scans, exact reranking.
+"""Nearest vectors by largest cosine: four-bit codes with a score-aware loss, table scans, exact reranking within proved bounds.
 
 Each component of a unit vector is coded by one of sixteen levels of its dimension. Levels and codes are
 fitted to an anisotropic loss: the part of the residual along the vector itself, which moves the inner
 product with near queries most, costs `parallel` times as much as the part across it. Levels are fitted
-on a bounded sample; every distinct vector is coded where it lies. A bounded number of queries at a time is
-sent to all tasks, which scan their codes, two a byte, by table look-ups and keep the best for each query;
-these are merged and reranked on the original vectors, and copies come in with their ids at the end.
+on a bounded sample; every distinct vector is coded, and its distance from its code kept beside it. A bounded
+number of queries at a time is sent to all tasks, which scan their codes, two a byte, by table look-ups. A cosine
+exceeds its score in codes by no more than that distance, so a vector is left aside only if it can't be among a query's
+nearest, and all others are reranked on the original vectors in the same task: what is found is exact for any rows.
+A task returns a few nodes a query; copies come in with their ids at the end.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from siftstone.llm.common import by_batch, by_task, durable
 from siftstone.llm.vectors import matrix, unit, valid
@@ -23,15 +26,14 @@ from siftstone.llm.vectors import matrix, unit, valid
 
 @dataclass(frozen=True)
 class Settings:
-    """sample: vectors that levels are fitted on, those of least hash; from_task, rerank: candidates that a task, and then a
-    query, keeps for exact cosines; queries: that are sent to every task at once."""
+    """sample: vectors that levels are fitted on, those of least hash; rerank: vectors of a block whose exact cosines are
+    taken first, so that fewer of the others can still be nearer; queries: that are sent to every task at once."""
 
     top: int = 5
     sample: int = 16384
     parallel: float = 4.0
     rounds: int = 6
-    rerank: int = 192
-    from_task: int = 192
+    rerank: int = 32
     queries: int = 32768
 
 
@@ -72,11 +74,14 @@ class Codes:
             along = rest + (x[:, j] - near[:, j]) * x[:, j]
         return code.astype(np.uint8)
 
-    def pack(self, x: np.ndarray) -> np.ndarray:
-        code = np.concatenate([self.code(x[i : i + 8192]) for i in range(0, len(x), 8192)])
-        if code.shape[1] % 2:
+    def pack(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, two a byte; for each unit vector how much a cosine with it may exceed its score at most)."""
+        code, d = self.code(x), x.shape[1]
+        away = np.sqrt(((x - self.levels[np.arange(d), code]) ** 2).sum(axis=1))
+        reach = away + (d + 4) * 2.0**-22 * (1 + away)  # and what sums in single precision may lose
+        if d % 2:
             code = np.hstack([code, np.zeros((len(code), 1), np.uint8)])
-        return code[:, ::2] | code[:, 1::2] << 4
+        return code[:, ::2] | code[:, 1::2] << 4, np.nextafter(reach.astype(np.float32), np.float32(np.inf))
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """For each query and byte of a code, the score of each of its 256 values: queries x bytes x 256."""
@@ -102,10 +107,11 @@ def nearest(rows: DataFrame, is_query, settings: Settings = Settings(), vec_id:
     first = Window.partitionBy("h1", "h2").orderBy("vec_id")  # of copies, the least ids that a query may want: one may be its own
     ids = ok.select("h1", "h2", "vec_id", F.row_number().over(first).alias("r")).filter(F.col("r") <= s.top + 1)
     ids = durable(ids.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("node", "vec_id", "r"))
+    nodes = nodes.join(ids.filter("r = 1").select("node", F.col("vec_id").alias("least")), "node")
     sizes = {r["d"]: r["n"] for r in ok.filter(is_query(F.col("vec_id"))).groupBy("d").agg(F.count("*").alias("n")).collect()}  # a row for each vector length
     out = None
     for d, n in sorted(sizes.items()):
-        here = nodes.filter(F.col("d") == d).select("node", "embedding")
+        here = nodes.filter(F.col("d") == d).select("node", "embedding", "least")
         sample = here.orderBy(F.xxhash64("embedding"), "node").limit(s.sample).select("embedding").toArrow()
         codes = rows.sparkSession.sparkContext.broadcast(Codes(unit(matrix(sample.column(0), d)), s))  # d x 16 numbers
         coded = durable(_coded(here, codes, d))
@@ -113,7 +119,7 @@ def nearest(rows: DataFrame, is_query, settings: Settings = Settings(), vec_id:
         parts = -(-n // s.queries)
         for k in range(parts):  # so many queries at once as every task can hold; one part up to `queries`
             some = asked if parts == 1 else asked.filter(F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(parts)) == k)
-            got = _answered(some, here, coded, ids, codes, d, s)
+            got = _answered(some, coded, ids, codes, d, s)
             out = got if out is None else out.unionByName(got)
     if out is None:
         return ok.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
@@ -121,57 +127,62 @@ def nearest(rows: DataFrame, is_query, settings: Settings = Settings(), vec_id:
 
 
 def _coded(nodes: DataFrame, codes, d: int) -> DataFrame:
-    """(nodes, codes): blocks of codes, a row for each batch; vectors stay where they are."""
+    """(nodes, least, codes, reach, vectors): blocks of nodes, a row for each batch."""
+    kind = np.float32 if nodes.schema["embedding"].dataType.elementType == FloatType() else np.float64
 
     def block(b: pa.RecordBatch) -> pa.Table:
-        u = unit(matrix(b.column(1), d))
-        return pa.table({"nodes": pa.array([b.column(0).to_numpy().tobytes()], pa.binary()), "codes": pa.array([codes.value.pack(u).tobytes()], pa.binary())})
+        x = matrix(b.column(1), d)
+        packed, reach = codes.value.pack(unit(x))
+        parts = {"nodes": b.column(0).to_numpy(), "least": b.column(2).to_numpy(), "codes": packed, "reach": reach, "vectors": x.astype(kind)}
+        return pa.table({k: pa.array([v.tobytes()], pa.binary()) for k, v in parts.items()})
 
-    return by_batch(nodes, block, "nodes binary, codes binary")
+    return by_batch(nodes, block, "nodes binary, least binary, codes binary, reach binary, vectors binary")
 
 
-def _answered(asked: DataFrame, nodes: DataFrame, coded: DataFrame, ids: DataFrame, codes, d: int, s: Settings) -> DataFrame:
+def _answered(asked: DataFrame, coded: DataFrame, ids: DataFrame, codes, d: int, s: Settings) -> DataFrame:
     table = asked.orderBy("vec_id").toArrow()  # about s.queries rows
     q_ids, q = table.column(0).to_numpy(), unit(matrix(table.column(1), d)) if len(table) else np.zeros((0, d))
     shared = asked.sparkSession.sparkContext.broadcast((q_ids, q))
+    kept = s.top + 1  # of nodes: one may be the query's own
 
     def scan(batches):
-        """The best of all blocks of a task for each query."""
+        """The nearest nodes of all blocks of a task for each query, by exact cosine and then least id."""
         q_ids, q = shared.value
-        best_score, best = np.full((len(q_ids), s.from_task), -np.inf, np.float32), np.full((len(q_ids), s.from_task), -1, np.int64)
+        best_score, best, best_id = np.full((len(q_ids), kept), -np.inf), np.full((len(q_ids), kept), -1, np.int64), np.full((len(q_ids), kept), np.iinfo(np.int64).max)
         for batch in batches:
-            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                node = np.frombuffer(node, np.int64)
-                packed = np.frombuffer(packed, np.uint8).reshape(len(node), -1).T.copy()
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                node, least, reach = (np.frombuffer(x, kind) for x, kind in zip((row[0], row[1], row[3]), (np.int64, np.int64, np.float32), strict=True))
+                packed = np.frombuffer(row[2], np.uint8).reshape(len(node), -1).T.copy()
+                u = unit(np.frombuffer(row[4], np.float32 if len(row[4]) == 4 * d * len(node) else np.float64).reshape(-1, d).astype(float))
+
+                def rerank(k: int, who: np.ndarray) -> None:
+                    exact = np.concatenate([best_score[k], np.einsum("ij,j->i", u[who], q[k])])
+                    name, first = np.concatenate([best[k], node[who]]), np.concatenate([best_id[k], least[who]])
+                    keep = np.lexsort((first, -exact))[:kept]
+                    best_score[k], best[k], best_id[k] = exact[keep], name[keep], first[keep]
+
                 for at in range(0, len(q_ids), 64):
                     tables = codes.value.tables(q[at : at + 64])
                     for i in range(len(tables)):
-                        score = np.zeros(len(node), np.float32)
+                        k, most = at + i, reach.copy()
                         for j, byte in enumerate(packed):
-                            score += tables[i, j][byte]
-                        k = at + i
-                        over = np.flatnonzero(score > best_score[k, -1])  # the last is the least that is kept
+                            most += tables[i, j][byte]
+                        over = np.flatnonzero(most >= best_score[k, -1])
+                        if len(over) > s.rerank:
+                            front = np.argpartition(-most[over], s.rerank)[: s.rerank]
+                            rerank(k, over[front])
+                            over = np.delete(over, front)
+                            over = over[most[over] >= best_score[k, -1]]
                         if len(over):
-                            every, who = np.concatenate([best_score[k], score[over]]), np.concatenate([best[k], node[over]])
-                            keep = np.lexsort((who, -every))[: s.from_task]
-                            best_score[k], best[k] = every[keep], who[keep]
+                            rerank(k, over)
         found = best >= 0
         if found.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, found.sum(axis=1))), pa.array(best[found]), pa.array(best_score[found])], names=["query_id", "node", "approx"])
-
-    scanned = by_task(coded, scan, "query_id long, node long, approx float")
-    best = Window.partitionBy("query_id").orderBy(F.desc("approx"), "node")
-    few = scanned.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= s.rerank).select("query_id", "node")
-
-    def exact(b: pa.RecordBatch) -> pa.RecordBatch:
-        q_ids, q = shared.value
-        w = q[np.searchsorted(q_ids, b.column(0).to_numpy())]
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.einsum("ij,ij->i", unit(matrix(b.column(2), d)), w))], names=["query_id", "node", "score"])
+            columns = [np.repeat(q_ids, found.sum(axis=1)), best[found], best_id[found], best_score[found]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "node", "least", "score"])
 
-    scored = by_batch(few.join(nodes, "node").select("query_id", "node", "embedding"), exact, "query_id long, node long, score double")
-    near = scored.join(ids.filter("r = 1").select("node", F.col("vec_id").alias("least")), "node")
+    scored = by_task(coded, scan, "query_id long, node long, least long, score double")
     top = Window.partitionBy("query_id").orderBy(F.desc("score"), "least")
-    near = near.withColumn("k", F.row_number().over(top)).filter(F.col("k") <= s.top + 1).select("query_id", "node", "score")
+    near = scored.withColumn("k", F.row_number().over(top)).filter(F.col("k") <= kept).select("query_id", "node", "score")
     each = near.join(ids.select("node", "vec_id"), "node").filter("vec_id <> query_id")
     ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= s.top).select("query_id", "rank", "vec_id", "score")

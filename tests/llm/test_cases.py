@@ -233,3 +233,17 @@ def test_suffix_dedup_of_repeated_ids(spark):
         got = suffix_dedup.remaining(df, settings).collect()
         assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), kept(i, x)) for i, x in rows)
         assert all((r.at, bytes(r.raw), r.m, r.carried) == (when, b"\xff\x00", {"k": 1}, 5) for r in got)
+
+
+def test_nearest_is_exact_in_tight_groups(spark):
+    """Groups of many distinct vectors that four-bit codes can't tell apart: every one of the nearest is found."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([c + s * rng.standard_normal((700, 64)) for c, s in zip(rng.standard_normal((3, 64)), (0.003, 0.02, 1.0), strict=True)]).astype(np.float32)
+    got = {}
+    for r in ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(5), lambda c: c % 50 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    for q in range(0, len(x), 50):
+        cosine = np.round(u @ u[q], 14)
+        cosine[q] = -9
+        assert [v for _, v in sorted(got[q])] == np.lexsort((np.arange(len(x)), -cosine))[:5].tolist()
