@@ -7,7 +7,8 @@ every window of `length` bytes the gram of least hash is the string's anchor; eq
 anchors. Anchors that occur in one document only are dropped after a first exchange of their hashes. A
 run of starts with one anchor is a context: the bytes that its strings cover. Equal contexts are combined,
 first within a batch of documents (the larger ids lose theirs there) and then within a shard, where each
-stands once, for its least document. All of a shard's contexts are sorted as suffix arrays of bounded size:
+stands once, for its least document; a context that is alone with its anchor then meets no other string.
+All of a shard's other contexts are sorted as suffix arrays of bounded size:
 sorting refines groups by doubling (Larsson-Sadakane), common prefixes are taken in one pass in text order
 (Kasai), and the arrays' strings are merged two by two by binary search of those of one in the other. What
 is removed follows from the least document of each string. Contexts of an anchor met in very many documents
@@ -17,10 +18,12 @@ are cut into single strings, dealt out by their first and last bytes. Shards are
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +33,7 @@ from siftstone.llm.common import by_batch, partitions, raw_texts, trim, unused
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PLACE = np.uint64(22)  # bits of a place within a step of `_STEP` positions
-_STEP = 1 << 20
+_STEP = 1 << 17
 BUCKET = 8 << 20  # bytes of text for which there is a bucket
 
 
@@ -67,13 +70,17 @@ def _grams(a: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def anchors(text: bytes, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first start, end of starts) of the runs of starts with one anchor; no start if the text is short."""
+def anchors(whole: bytes, sizes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, first start, end of starts) of the runs of starts with one anchor in texts of the given sizes.
+
+    whole: the texts put together; places are counted in it. A short text has no start.
+    """
     parts = []
     wide = s.length - s.gram + 1
-    for at in range(0, max(len(text) - s.length + 1, 0), _STEP):
-        a = np.frombuffer(text, np.uint8)[at : at + _STEP + s.length - 1]
-        h = _grams(a, s.gram)
+    ends = np.cumsum(sizes)
+    flat = np.frombuffer(whole, np.uint8)
+    for at in range(0, max(len(whole) - s.length + 1, 0), _STEP):
+        h = _grams(flat[at : at + _STEP + s.length - 1], s.gram)
         key = (h >> _PLACE << _PLACE) | np.arange(len(h), dtype=np.uint64)
         least, w = key, 1
         while 2 * w <= wide:
@@ -83,13 +90,51 @@ def anchors(text: bytes, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarra
         if w < wide:
             least = np.minimum(least[:n], least[wide - w : wide - w + n])
         own = (least & np.uint64((1 << 22) - 1)).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        parts.append((h[own[first]], first + at, np.r_[first[1:], n] + at))
+        new = np.r_[True, own[1:] != own[:-1]]
+        new[ends[np.searchsorted(ends, at, "right") : np.searchsorted(ends, at + n)] - at] = True  # a text begins
+        first = np.flatnonzero(new)
+        text = np.searchsorted(ends, first + at, "right")
+        end = np.minimum(np.append(first[1:], n) + at, ends[text] - s.length + 1)  # what reaches into the next text is no string
+        inside = end > first + at
+        parts.append((text[inside], h[own[first[inside]]], first[inside] + at, end[inside]))
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none, np.zeros(0, np.uint64), none, none
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one after another."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
+
+
+def _alike(whole: bytes, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, head): the pieces of whole in an order that brings equal ones together, those of a kind as they came, and where each kind begins.
+
+    Pieces are ordered by a hash; equal bytes decide.
+    """
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    wide = -(-int(size.max()) // 8) * 8
+    flat = np.frombuffer(whole + bytes(wide), np.uint8)
+    piece = np.lib.stride_tricks.sliding_window_view(flat, wide)[at]
+    piece[np.arange(wide) >= size[:, None]] = 0
+    words = piece.view(np.uint64)
+    h = size.astype(np.uint64) * _M[2]
+    for k in range(words.shape[1]):
+        h ^= words[:, k]
+        h *= _M[k % 2]
+        h ^= h >> np.uint64(29)
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    head = np.r_[True, h[1:] != h[:-1]]
+    same = np.flatnonzero(~head)
+    a, b = order[same], order[same - 1]
+    head[same] = (size[a] != size[b]) | (words[a] != words[b]).any(axis=1)
+    return order, head
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Positions sorted by the bytes from each to the end; groups that agree so far are sorted by the ranks behind."""
     n = len(text)
@@ -150,7 +195,7 @@ def _sorted_strings(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray,
     base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     text = np.frombuffer(b"".join(contexts), np.uint8)
     owner = np.full(len(text), -1, np.int64)
-    each = np.repeat(base, starts) + np.concatenate([np.arange(n) for n in starts])
+    each = _spread(base, starts)
     owner[each] = np.repeat(np.arange(len(contexts)), starts)
     sa = suffix_array(text)
     group = np.cumsum(common_prefixes(text, sa, length) < length)
@@ -197,9 +242,33 @@ def least_documents(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray,
     return np.concatenate([least[np.searchsorted(strings, x[0])][x[2]] if len(shards) > 1 else x[1][x[2]] for x in shards])
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.r_[0, flags.astype(np.int8), 0]))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+def least_of_kinds(whole: bytes, keys: np.ndarray, counts: np.ndarray, docs: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, first, number, least): the kind of each context, and for each kind the place and number of its starts in least, the least documents of their strings.
+
+    whole: the contexts put together; keys: of their anchors. Equal contexts are a kind and are looked up once, for their
+    least document. Equal strings have equal keys, so a kind that is alone with its key has no string of another kind;
+    all others go into the suffix arrays.
+    """
+    sizes = counts - 1 + s.length
+    at = np.cumsum(sizes) - sizes
+    order, head = _alike(whole, at, sizes)
+    begin = np.flatnonzero(head)
+    one, doc = order[begin], np.minimum.reduceat(docs[order], begin)
+    by_key = np.argsort(keys[one], kind="stable")
+    kind = np.empty(len(order), np.int64)
+    place = np.empty(len(one), np.int64)
+    place[by_key] = np.arange(len(one))
+    kind[order] = place[np.cumsum(head) - 1]
+    one, doc = one[by_key], doc[by_key]
+    number = counts[one]
+    first = np.cumsum(number) - number
+    least = np.repeat(doc, number)
+    new = keys[one[1:]] != keys[one[:-1]]
+    met = np.flatnonzero(~(np.r_[True, new] & np.r_[new, True]))
+    if len(met):
+        parts = [whole[a : a + n] for a, n in zip(at[one[met]].tolist(), sizes[one[met]].tolist(), strict=True)]
+        least[_spread(first[met], number[met])] = least_documents(parts, number[met], doc[met], s)
+    return kind, first, number, least
 
 
 def _split_counts(docs: np.ndarray, hashes: np.ndarray, kind: str) -> pa.Table:
@@ -222,19 +291,20 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     s = settings
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    buckets = max(partitions(spark, 32), size // BUCKET)
+    buckets = min(max(partitions(spark, 32), size // BUCKET), 1 << 19)
     t = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (F.col(carry) if carry else F.lit(None).cast("string")).alias("carried"))
     carried = StructField("carried", t.schema["carried"].dataType)
     fields = lambda ddl: StructType([*StructType.fromDDL(ddl).fields, carried])
     t = t.withColumn("h", F.xxhash64("text"))  # tells rows of one doc_id apart
 
     def hashed(b: pa.RecordBatch) -> pa.Table:
-        found = [np.unique(anchors(x, s)[0]) for x in raw_texts(b.column(1))]
-        h = np.concatenate(found)
-        d = np.repeat(b.column(0).to_numpy(), [len(x) for x in found])
-        bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        h, d, bucket = (h[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), d[order], bucket[order]
+        texts = raw_texts(b.column(1))
+        row, h, _, _ = anchors(b"".join(texts), np.array([len(x) for x in texts]), s)
+        # Shard, row of the batch (fewer than 4096) and what is sent of the hash are one number: sorted, each once.
+        k = np.sort((h >> np.uint64(32)) % np.uint64(buckets) << np.uint64(44) | row.astype(np.uint64) << np.uint64(32) | h & np.uint64(0xFFFFFFFF))
+        k = k[np.r_[True, k[1:] != k[:-1]]] if len(k) else k
+        bucket, h = (k >> np.uint64(44)).astype(np.int64), k.astype(np.uint32)
+        d = b.column(0).to_numpy()[(k >> np.uint64(32) & np.uint64(0xFFF)).astype(np.int64)]
         rows: list[list] = [[], [], [], []]
         for k, a, e in zip(*_groups(bucket), strict=True):
             own = np.flatnonzero(np.r_[True, d[a + 1 : e] != d[a : e - 1]])
@@ -273,40 +343,55 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
 
     def contexts(b: pa.RecordBatch) -> pa.Table:
         unzip = zstandard.ZstdDecompressor()
-        least: dict[bytes, int] = {}
-        met: list[tuple[int, int, int, int, bytes, int]] = []
-        ids, prints = b.column(0).to_pylist(), b.column(1).to_pylist()
-        local: list[list] = [[] for _ in ids]
-        for row, (doc, z, some, hot) in enumerate(zip(ids, b.column(2).to_pylist(), b.column(3), b.column(4), strict=True)):
-            x = unzip.decompress(z)
-            h, first, end = anchors(x, s)
-            low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-            crowded = np.isin(low, hot.values.to_numpy()) if len(hot.values) else np.zeros(len(h), bool)
-            for i in np.flatnonzero(np.isin(low, some.values.to_numpy())).tolist():
-                a, e, key = int(first[i]), int(end[i]), int(h[i])
-                c = x[a : e - 1 + s.length]
-                if least.setdefault(c, doc) > doc:
-                    least[c] = doc
-                met.append((row, doc, a, e - a, c, -1 if crowded[i] else key))
-        sent: dict[int, list[list]] = {}
-        seen: dict[bytes, tuple[int, int]] = {}
-        twins: dict[int, list[tuple[int, int, int]]] = {}
-        for row, doc, a, n, c, key in met:
-            if doc > least[c]:
-                local[row].append((a, a + n - 1 + s.length))
-            elif c in seen and seen[c][0] == row:  # a document's own repeats are looked up once and share the answer
-                twins.setdefault(row, []).append((seen[c][1], a, len(c)))
-            else:
-                seen[c] = row, a
-                for k, part, at, m in _cut(c, a, n, key, s.length):
-                    box = sent.setdefault((k >> 32) % buckets, [[], [], [], [], [], []])
-                    for column, v in zip(box, (k & 0xFFFFFFFF, m, doc, prints[row], at, part), strict=True):
-                        column.append(v)
-        rows = [{"bucket": k, "keys": _small(np.array(v[0], np.uint32)), "counts": _small(np.array(v[1], np.int16)), "docs": _small(np.array(v[2], np.int64)),
-                 "prints": _small(np.array(v[3], np.int64)), "at": _small(np.array(v[4], np.int64)), "bytes": zstandard.compress(b"".join(v[5]), 1)} for k, v in sent.items()]
-        for row in range(len(ids)):
-            if local[row] or row in twins:
-                rows.append({"bucket": -1 - ids[row] % buckets, "doc_id": ids[row], "h": prints[row], "local": _small(np.array(_join(local[row]), np.int64)), "twins": _small(np.array(twins.get(row, []), np.int64))})
+        ids, prints = b.column(0).to_numpy(), b.column(1).to_numpy()
+        texts = [unzip.decompress(z) for z in b.column(2).to_pylist()]
+        whole, lengths = b"".join(texts), np.array([len(x) for x in texts])
+        del texts
+        base = np.cumsum(lengths) - lengths
+        row, h, first, end = anchors(whole, lengths, s)
+        low = row << 32 | (h & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+        def among(low: np.ndarray, lists: pa.ListArray) -> np.ndarray:
+            return np.isin(low, np.repeat(np.arange(len(lists)), pc.list_value_length(lists).fill_null(0).to_numpy()) << 32 | lists.flatten().to_numpy().view(np.uint32).astype(np.int64))
+
+        some = among(low, b.column(3))
+        row, h, first, n, low = row[some], h[some], first[some], (end - first)[some], low[some]
+        crowded = among(low, b.column(4))
+        size, doc = n - 1 + s.length, ids[row]
+        order, head = _alike(whole, first, size)
+        least = np.minimum.reduceat(doc[order], np.flatnonzero(head)) if len(order) else doc
+        kind = np.empty(len(order), np.int64)
+        kind[order] = np.cumsum(head) - 1
+        local = doc > least[kind]
+        # A document's own repeats are looked up once and share the answer.
+        mine = order[~local[order]]
+        lead = np.r_[True, (kind[mine][1:] != kind[mine][:-1]) | (row[mine][1:] != row[mine][:-1])] if len(mine) else np.zeros(0, bool)
+        origin = mine[np.maximum.accumulate(np.where(lead, np.arange(len(mine)), 0))][~lead]
+        twin = mine[~lead]
+        by_row = np.argsort(twin)
+        twin, origin = twin[by_row], origin[by_row]
+        sent = np.sort(mine[lead])
+        cut = sent[crowded[sent]]
+        sent = sent[~crowded[sent]]
+        made = [x for i in cut.tolist() for x in _cut(whole, int(first[i]), int(n[i]), int(row[i]), s.length)]
+        extra = [np.array(c, k) for c, k in zip(zip(*made, strict=True) if made else ((), (), ()), (np.uint64, np.int64, np.int64), strict=True)]
+        key, who, at = (np.concatenate(x) for x in ((h[sent], extra[0]), (row[sent], extra[1]), (first[sent], extra[2])))
+        m = np.concatenate([n[sent], np.ones(len(made), np.int64)])
+        bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, key, who, at, m = bucket[order], key[order].astype(np.uint32), who[order], at[order], m[order]
+        pieces = [whole[a:e] for a, e in zip(at.tolist(), (at + m - 1 + s.length).tolist(), strict=True)]
+        rows = [{"bucket": k, "keys": _small(key[a:e]), "counts": _small(m[a:e].astype(np.int16)), "docs": _small(ids[who[a:e]]), "prints": _small(prints[who[a:e]]),
+                 "at": _small((at - base[who])[a:e]), "bytes": zstandard.compress(b"".join(pieces[a:e]), 1)} for k, a, e in zip(*_groups(bucket), strict=True)]
+        own = np.flatnonzero(local)
+        a, e = first[own], (first + size)[own]
+        new = np.r_[True, (a[1:] > e[:-1]) | (row[own][1:] != row[own][:-1])] if len(own) else np.zeros(0, bool)
+        a, e, of = a[new], e[np.r_[new[1:], True]] if len(own) else e, row[own][new]
+        runs = np.stack([a - base[of], e - base[of]], axis=1)
+        again = np.stack([first[origin] - base[row[origin]], first[twin] - base[row[twin]], size[twin]], axis=1)
+        edges, edges_of_twins = (np.searchsorted(x, np.arange(len(ids) + 1)) for x in (of, row[twin]))
+        for k in np.flatnonzero((np.diff(edges) > 0) | (np.diff(edges_of_twins) > 0)).tolist():
+            rows.append({"bucket": -1 - int(ids[k]) % buckets, "doc_id": int(ids[k]), "h": int(prints[k]), "local": _small(runs[edges[k] : edges[k + 1]]), "twins": _small(again[edges_of_twins[k] : edges_of_twins[k + 1]])})
         kind = pa.schema([(n, getattr(pa, k)()) for n, k in _MIXED])
         return pa.table({n: [r.get(n) for r in rows] for n, _ in _MIXED}, schema=kind)
 
@@ -321,32 +406,18 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         keys, counts, docs_, prints, at = (np.concatenate([_large(x, d) for x in table.column(c).to_pylist()]) for c, d in (("keys", np.uint32), ("counts", np.int16), ("docs", np.int64), ("prints", np.int64), ("at", np.int64)))
         counts = counts.astype(np.int64)
         whole = b"".join(zstandard.decompress(x) for x in table.column("bytes").to_pylist())
-        sizes = counts - 1 + s.length
-        ends = np.cumsum(sizes)
-        parts = [whole[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-        del whole, ends
-        owner: dict[bytes, int] = {}
-        for i, (c, d) in enumerate(zip(parts, docs_.tolist(), strict=True)):
-            j = owner.setdefault(c, i)
-            if docs_[j] > d:
-                owner[c] = i
-        of = np.array([owner[c] for c in parts], np.int64)
-        held = np.unique(of)  # equal contexts stand in the arrays once, for their least document
-        held = held[np.argsort(keys[held], kind="stable")]
-        place = np.empty(len(of), np.int64)
-        place[held] = np.arange(len(held))
-        reach = least_documents([parts[i] for i in held.tolist()], counts[held], docs_[held], s)
-        first = np.cumsum(counts[held]) - counts[held]
-        furthest, nearest = np.maximum.reduceat(reach, first), np.minimum.reduceat(reach, first)
-        whole_ = furthest[place[of]] < docs_
-        out = [(np.flatnonzero(whole_), at[whole_], at[whole_] + sizes[whole_])]
-        rows: list[tuple[int, int, int]] = []
-        for i in np.flatnonzero(~whole_ & (nearest[place[of]] < docs_)).tolist():
-            k = int(place[of[i]])
-            rows += [(i, int(at[i]) + a, int(at[i]) + e - 1 + s.length) for a, e in _runs(reach[first[k] : first[k] + counts[held[k]]] < docs_[i])]
-        if rows:
-            out.append(tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)))
-        who, a, e = (np.concatenate([o[k] for o in out]) for k in range(3))
+        kind, first, number, least = least_of_kinds(whole, keys, counts, docs_, s)
+        del whole
+        furthest, nearest = np.maximum.reduceat(least, first), np.minimum.reduceat(least, first)
+        all_ = furthest[kind] < docs_
+        part = np.flatnonzero(~all_ & (nearest[kind] < docs_))  # some of their strings only
+        who = np.repeat(part, number[kind[part]])
+        gone = least[_spread(first[kind[part]], number[kind[part]])] < docs_[who]
+        start = _spread(at[part], number[kind[part]])
+        edge = np.r_[True, who[1:] != who[:-1]] if len(who) else np.zeros(0, bool)
+        opens = gone & (edge | ~np.r_[False, gone[:-1]][: len(gone)])
+        closes = gone & (np.r_[edge[1:], True][: len(gone)] | ~np.r_[gone[1:], False][: len(gone)])
+        who, a, e = (np.concatenate(x) for x in ((np.flatnonzero(all_), who[opens]), (at[all_], start[opens]), (at[all_] + counts[all_] - 1 + s.length, start[closes] + s.length)))
         order = np.lexsort((a, prints[who], docs_[who]))
         who, a, e = who[order], a[order], e[order]
         first = np.flatnonzero(np.r_[True, (docs_[who][1:] != docs_[who][:-1]) | (prints[who][1:] != prints[who][:-1])]) if len(who) else np.zeros(0, np.int64)
@@ -363,15 +434,19 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     def joined_runs(b: pa.RecordBatch) -> pa.Table:
         starts, ends, sizes = [], [], []
         for z, a, e, local, twins in zip(b.column(1).to_pylist(), b.column(3), b.column(4), b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True):
-            sizes.append(len(zstandard.decompress(z)))
+            sizes.append(zstandard.frame_content_size(z))
             mine = list(zip(a.values.to_pylist(), e.values.to_pylist(), strict=True)) if a.is_valid else []
             found = list(mine)
+            if twins:
+                mine.sort()
+                begins, longest = [p for p, _ in mine], max((q - p for p, q in mine), default=0)
             for x in local or []:
                 found += [tuple(r) for r in _large(x, np.int64).reshape(-1, 2).tolist()]
             for x in twins or []:
                 for lo, to, size in _large(x, np.int64).reshape(-1, 3).tolist():
                     # only runs of strings of this context move with it
-                    found += [(max(p, lo) + to - lo, min(q, lo + size) + to - lo) for p, q in mine if min(q, lo + size) - max(p, lo) >= s.length]
+                    near = mine[bisect_left(begins, lo + s.length - longest) : bisect_right(begins, lo + size - s.length)]
+                    found += [(max(p, lo) + to - lo, min(q, lo + size) + to - lo) for p, q in near if min(q, lo + size) - max(p, lo) >= s.length]
             found = _join(found)
             starts.append([p for p, _ in found])
             ends.append([q for _, q in found])
@@ -401,14 +476,11 @@ def _groups(x: np.ndarray) -> tuple[list, list, list]:
     return x[at].tolist(), at.tolist(), np.append(at[1:], len(x)).tolist()
 
 
-def _cut(c: bytes, at: int, n: int, key: int, length: int):
-    """A context as it is, or (key -1) its strings one by one, keyed by their first and last bytes."""
-    if key >= 0:
-        yield key, c, at, n
-        return
-    for i in range(n):
-        x = c[i : i + length]
-        yield int.from_bytes(hashlib.blake2b(x[:16] + x[-16:], digest_size=8).digest(), "little"), x, at + i, 1
+def _cut(whole: bytes, at: int, n: int, row: int, length: int):
+    """(key, row, place) of a context's strings one by one, keyed by their first and last bytes."""
+    for i in range(at, at + n):
+        x = whole[i : i + length]
+        yield int.from_bytes(hashlib.blake2b(x[:16] + x[-16:], digest_size=8).digest(), "little"), row, i
 
 
 def _join(runs: list) -> list[tuple[int, int]]:
