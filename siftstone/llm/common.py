@@ -64,22 +64,25 @@ def partitions(spark: SparkSession, least: int = 16) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def by_task(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, owner: str = "") -> DataFrame:
+def by_task(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, owner: str = "", keep: bool = True) -> DataFrame:
     """mapInArrow with a function of a task's batches.
 
     owner: whose word caches f uses; a worker frees all others first. Batches are cut to BATCH rows here:
-    whole documents would make batches of Spark's size too large for a worker.
+    whole documents would make batches of Spark's size too large for a worker. keep: whether word caches outlive the
+    task; an executor has more workers than tasks after a stage with two in a row, and those that wait would keep theirs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Recent.work_for(owner)
         yield from f(b.slice(at, BATCH) for b in batches for at in range(0, b.num_rows, BATCH))
+        if not keep:
+            Recent.work_for("")
         trim()
 
     return df.mapInArrow(run, schema)
 
 
-def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema, owner: str = "") -> DataFrame:
+def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch], schema, owner: str = "", keep: bool = True) -> DataFrame:
     """mapInArrow with a function of one batch; batches without rows are passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +90,7 @@ def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Table | pa.RecordBa
             out = f(b)
             yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
-    return by_task(df, run, schema, owner)
+    return by_task(df, run, schema, owner, keep)
 
 
 def trim() -> None:

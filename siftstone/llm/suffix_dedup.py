@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left, bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -280,10 +281,14 @@ def _split_counts(docs: np.ndarray, hashes: np.ndarray, kind: str) -> pa.Table:
     return pa.table({"doc_id": docs[at], kind: lists})
 
 
-def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
+def spans(
+    docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", carry: str | None = None,
+    then: Callable[[pa.Table], pa.Table] | None = None, shape: Callable[[StructField], StructType] | None = None,
+) -> DataFrame:
     """(doc_id, n_bytes, starts array<long>, ends array<long>, z binary, carried): removed runs in order, z the text packed by zstd.
 
-    carry: a column of any type to hand on with each row.
+    carry: a column of any type to hand on with each row. then: what to make of these rows in the same task, which then has one
+    Python worker instead of two; shape: the fields of what it makes, given that of carried.
 
     Repeated doc_ids never take from each other (neither is smaller) but take alike from smaller ones; a null
     doc_id neither takes nor gives.
@@ -453,7 +458,10 @@ def spans(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
         kind = pa.list_(pa.int64())
         return pa.table({"doc_id": b.column(0), "n_bytes": pa.array(sizes, pa.int64()), "starts": pa.array(starts, kind), "ends": pa.array(ends, kind), "z": b.column(1), "carried": b.column(2)})
 
-    return by_batch(final.select("doc_id", "z", "carried", "a", "e", "local", "twins"), joined_runs, fields("doc_id long, n_bytes long, starts array<long>, ends array<long>, z binary"))
+    rows = final.select("doc_id", "z", "carried", "a", "e", "local", "twins")
+    if then:
+        return by_batch(rows, lambda b: then(joined_runs(b)), shape(carried))
+    return by_batch(rows, joined_runs, fields("doc_id long, n_bytes long, starts array<long>, ends array<long>, z binary"))
 
 
 def _small(x: np.ndarray) -> bytes:
@@ -508,13 +516,14 @@ def digests(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc
     read whole. Extra columns are left aside, whatever their names; an empty table gives an empty result.
     """
 
-    def one(b: pa.RecordBatch) -> pa.Table:
+    def one(b: pa.Table) -> pa.Table:
         starts, ends = b.column(2).to_pylist(), b.column(3).to_pylist()
         sha = [hashlib.sha256(_kept(z, a, e)).hexdigest() for z, a, e in zip(b.column(4).to_pylist(), starts, ends, strict=True)]
         removed = [sum(e) - sum(a) for a, e in zip(starts, ends, strict=True)]
         return pa.table({"doc_id": b.column(0), "n_bytes": b.column(1), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array([len(a) for a in starts], pa.int64()), "kept_sha256": sha})
 
-    return by_batch(spans(docs, settings, doc_id, text), one, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    made = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return spans(docs, settings, doc_id, text, then=one, shape=lambda carried: made)
 
 
 def remaining(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -523,12 +532,11 @@ def remaining(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "d
     (carry,) = unused(docs.columns, "_carried")
     packed = docs.withColumn(carry, F.struct(*rest) if rest else F.lit(None).cast("string"))
 
-    def one(b: pa.RecordBatch) -> pa.Table:
+    def one(b: pa.Table) -> pa.Table:
         starts, ends = b.column(2).to_pylist(), b.column(3).to_pylist()
         left = [_kept(z, a, e).decode("utf-8", "ignore") for z, a, e in zip(b.column(4).to_pylist(), starts, ends, strict=True)]
         return pa.table({"doc_id": b.column(0), "text": pa.array(left, pa.string()), "carried": b.column(5)})
 
-    found = spans(packed, settings, doc_id, text, carry)
-    left = by_batch(found, one, StructType([*StructType.fromDDL("doc_id long, text string").fields, found.schema["carried"]]))
+    left = spans(packed, settings, doc_id, text, carry, one, lambda carried: StructType([*StructType.fromDDL("doc_id long, text string").fields, carried]))
     own = {doc_id: F.col("doc_id").cast(docs.schema[doc_id].dataType), text: F.col("text")}
     return left.select(*[(own[c] if c in own else F.col("carried")[c]).alias(c) for c in docs.columns])

@@ -47,6 +47,15 @@ class Settings:
     threshold: float = 0.3
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(the numbers of x in order, each once; where each stands first among all, sorted; how many all are)."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    first = new.nonzero()[0]
+    return x[first], first, len(x)
+
+
 class Terms:
     """Numbers of a text's terms; those of white-space separated tokens met lately are kept."""
 
@@ -67,8 +76,8 @@ class Terms:
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(terms in order, how often each stands in the text)."""
-        terms, counts = np.unique(self.all(text), return_counts=True)
-        return terms, counts.astype(float)
+        terms, first, n = _distinct(self.all(text))
+        return terms, np.diff(first, append=n).astype(float)
 
 
 _TERMS: dict[Settings, Terms] = {}
@@ -121,7 +130,7 @@ class Index:
         self.dense[at[at >= 0], place[at >= 0]] = value[at >= 0]
         by_term = np.flatnonzero(at < 0)
         by_term = by_term[np.argsort(terms[by_term], kind="stable")]  # places stay in order within a term
-        terms, self.place, self.value = terms[by_term], place[by_term], value[by_term]
+        terms, self.place, self.value = terms[by_term], place[by_term].astype(np.int32), value[by_term]  # small numbers: every worker holds an index
         blocks = self.place // block
         first = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])]) if len(terms) else np.zeros(0, np.int64)
         self.start = np.append(first, len(terms))  # of an entry's postings
@@ -216,7 +225,7 @@ def frequencies(docs: DataFrame, settings: Settings, text: str = "text") -> tupl
         total, rows, terms = np.zeros(size * PARTS, np.int32), 0, terms_of(settings)
         for b in batches:
             for x in plain_texts(b.column(0)):
-                total[np.unique(terms.all(x))] += 1
+                total[_distinct(terms.all(x))[0]] += 1
             rows += b.num_rows
         if rows:
             parts = [zstandard.compress(x.tobytes(), 1) for x in total.reshape(PARTS, size)]
@@ -233,7 +242,7 @@ def frequencies(docs: DataFrame, settings: Settings, text: str = "text") -> tupl
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n": pa.array([rows], pa.int64()), "counts": pa.array([zstandard.compress(x.tobytes(), 1)], pa.binary())})
 
     shape = "part int, n long, counts binary"
-    each = by_task(docs.select(text), counted, shape, "toxicity")
+    each = by_task(docs.select(text), counted, shape, "toxicity", keep=False)
     whole = by_task(each.repartition(PARTS, "part"), summed, shape, "toxicity").collect()  # PARTS rows, `terms` numbers
     df, rows = np.zeros((PARTS, size), np.int64), 0
     for r in whole:
@@ -338,7 +347,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
         few = (plain_texts(b.column(at).slice(i, QUERIES)) for i in range(0, b.num_rows, QUERIES))  # as many vectors at a time as are scored at once
         return b.filter(pa.array([m.score(raw) < settings.threshold for texts in few for raw, _, _ in m.votes(list(map(terms.vector, texts)))], pa.bool_()))
 
-    return by_batch(docs, clean, docs.schema, "toxicity")
+    return by_batch(docs, clean, docs.schema, "toxicity", keep=False)
 
 
 def held_out(doc_id: str = "doc_id"):
