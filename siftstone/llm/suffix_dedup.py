@@ -8,8 +8,9 @@ anchors. Anchors that occur in one document only are dropped after a first excha
 run of starts with one anchor is a context: the bytes that its strings cover. Equal contexts are combined,
 first within a batch of documents (the larger ids lose theirs there) and then within a shard, where each
 stands once, for its least document; a context that is alone with its anchor then meets no other string.
-All of a shard's other contexts are sorted as suffix arrays of bounded size:
-sorting refines groups by doubling (Larsson-Sadakane), common prefixes are taken in one pass in text order
+A shard's contexts are
+taken in parts of its anchors, so what a worker makes of them at a time is bounded.
+All other contexts of a part are sorted as suffix arrays of bounded size: sorting refines groups by doubling (Larsson-Sadakane), common prefixes are taken in one pass in text order
 (Kasai), and the arrays' strings are merged two by two by binary search of those of one in the other. What
 is removed follows from the least document of each string. Contexts of an anchor met in very many documents
 are cut into single strings, dealt out by their first and last bytes. Shards are as many as the bytes need.
@@ -40,12 +41,13 @@ BUCKET = 8 << 20  # bytes of text for which there is a bucket
 
 @dataclass(frozen=True)
 class Settings:
-    """gram: of the anchors; crowd: documents beyond which an anchor's contexts are cut up; array: bytes of one suffix array."""
+    """gram: of the anchors; crowd: documents beyond which an anchor's contexts are cut up; array: bytes of one suffix array; part: bytes of contexts looked up at a time."""
 
     length: int = 50
     gram: int = 20
     crowd: int = 5000
     array: int = 1 << 21
+    part: int = 1 << 20
 
 
 def _words(a: np.ndarray) -> np.ndarray:
@@ -118,7 +120,7 @@ def _alike(whole: bytes, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray,
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, bool)
     wide = -(-int(size.max()) // 8) * 8
-    flat = np.frombuffer(whole + bytes(wide), np.uint8)
+    flat = np.frombuffer(whole if at.max() + wide <= len(whole) else whole + bytes(wide), np.uint8)
     piece = np.lib.stride_tricks.sliding_window_view(flat, wide)[at]
     piece[np.arange(wide) >= size[:, None]] = 0
     words = piece.view(np.uint64)
@@ -243,15 +245,27 @@ def least_documents(contexts: list[bytes], starts: np.ndarray, docs: np.ndarray,
     return np.concatenate([least[np.searchsorted(strings, x[0])][x[2]] if len(shards) > 1 else x[1][x[2]] for x in shards])
 
 
-def least_of_kinds(whole: bytes, keys: np.ndarray, counts: np.ndarray, docs: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def parts_of(keys: np.ndarray, sizes: np.ndarray, s: Settings) -> list[np.ndarray]:
+    """The places of contexts by parts of their keys, about `part` bytes in each; contexts of one key, which alone may meet, stay together."""
+    n = -(-int(sizes.sum()) // s.part)
+    if n < 2:
+        return [np.arange(len(keys))]
+    part = (keys.astype(np.uint64) * np.uint64(n) >> np.uint64(32)).astype(np.int64)  # keys are hashes of 32 bits
+    order = np.argsort(part, kind="stable")
+    return [x for x in np.split(order, np.searchsorted(part[order], np.arange(1, n))) if len(x)]
+
+
+def least_of_kinds(
+    whole: bytes, keys: np.ndarray, counts: np.ndarray, docs: np.ndarray, s: Settings, at: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(kind, first, number, least): the kind of each context, and for each kind the place and number of its starts in least, the least documents of their strings.
 
-    whole: the contexts put together; keys: of their anchors. Equal contexts are a kind and are looked up once, for their
+    whole: the contexts put together, or what holds them at the given places; keys: of their anchors. Equal contexts are a kind and are looked up once, for their
     least document. Equal strings have equal keys, so a kind that is alone with its key has no string of another kind;
     all others go into the suffix arrays.
     """
     sizes = counts - 1 + s.length
-    at = np.cumsum(sizes) - sizes
+    at = np.cumsum(sizes) - sizes if at is None else at
     order, head = _alike(whole, at, sizes)
     begin = np.flatnonzero(head)
     one, doc = order[begin], np.minimum.reduceat(docs[order], begin)
@@ -410,19 +424,26 @@ def spans(
             return pa.table({"doc_id": table.column("doc_id"), "h": table.column("h"), "a": none, "e": none, "local": table.column("local"), "twins": table.column("twins")})
         keys, counts, docs_, prints, at = (np.concatenate([_large(x, d) for x in table.column(c).to_pylist()]) for c, d in (("keys", np.uint32), ("counts", np.int16), ("docs", np.int64), ("prints", np.int64), ("at", np.int64)))
         counts = counts.astype(np.int64)
-        whole = b"".join(zstandard.decompress(x) for x in table.column("bytes").to_pylist())
-        kind, first, number, least = least_of_kinds(whole, keys, counts, docs_, s)
+        whole = b"".join([*(zstandard.decompress(x) for x in table.column("bytes").to_pylist()), bytes(2 * s.length)])  # windows of the last contexts end inside
+        sizes = counts - 1 + s.length
+        inside = np.cumsum(sizes) - sizes
+
+        def removed(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            kind, first, number, least = least_of_kinds(whole, keys[own], counts[own], docs_[own], s, inside[own])
+            furthest, nearest = np.maximum.reduceat(least, first), np.minimum.reduceat(least, first)
+            all_ = furthest[kind] < docs_[own]
+            part = np.flatnonzero(~all_ & (nearest[kind] < docs_[own]))  # some of their strings only
+            who = np.repeat(own[part], number[kind[part]])
+            gone = least[_spread(first[kind[part]], number[kind[part]])] < docs_[who]
+            start = _spread(at[own[part]], number[kind[part]])
+            edge = np.r_[True, who[1:] != who[:-1]] if len(who) else np.zeros(0, bool)
+            opens = gone & (edge | ~np.r_[False, gone[:-1]][: len(gone)])
+            closes = gone & (np.r_[edge[1:], True][: len(gone)] | ~np.r_[gone[1:], False][: len(gone)])
+            all_ = own[all_]
+            return np.concatenate([all_, who[opens]]), np.concatenate([at[all_], start[opens]]), np.concatenate([at[all_] + sizes[all_], start[closes] + s.length])
+
+        who, a, e = (np.concatenate(x) for x in zip(*map(removed, parts_of(keys, sizes, s)), strict=True))
         del whole
-        furthest, nearest = np.maximum.reduceat(least, first), np.minimum.reduceat(least, first)
-        all_ = furthest[kind] < docs_
-        part = np.flatnonzero(~all_ & (nearest[kind] < docs_))  # some of their strings only
-        who = np.repeat(part, number[kind[part]])
-        gone = least[_spread(first[kind[part]], number[kind[part]])] < docs_[who]
-        start = _spread(at[part], number[kind[part]])
-        edge = np.r_[True, who[1:] != who[:-1]] if len(who) else np.zeros(0, bool)
-        opens = gone & (edge | ~np.r_[False, gone[:-1]][: len(gone)])
-        closes = gone & (np.r_[edge[1:], True][: len(gone)] | ~np.r_[gone[1:], False][: len(gone)])
-        who, a, e = (np.concatenate(x) for x in ((np.flatnonzero(all_), who[opens]), (at[all_], start[opens]), (at[all_] + counts[all_] - 1 + s.length, start[closes] + s.length)))
         order = np.lexsort((a, prints[who], docs_[who]))
         who, a, e = who[order], a[order], e[order]
         first = np.flatnonzero(np.r_[True, (docs_[who][1:] != docs_[who][:-1]) | (prints[who][1:] != prints[who][:-1])]) if len(who) else np.zeros(0, np.int64)

@@ -46,3 +46,27 @@ def test_texts_put_together_have_the_anchors_of_each_alone():
         assert (mine[0] == h).all() and (mine[1] - base == first).all() and (mine[2] - base == end).all()
         assert (end - first).sum() == max(len(x) - s.length + 1, 0)
         base += len(x)
+
+
+def test_a_shard_is_looked_up_in_parts_of_its_anchors(spark):
+    rng = np.random.default_rng(7)
+    words = [rng.integers(97, 123, 60, np.uint8).tobytes().decode() for _ in range(40)]
+    docs = spark.createDataFrame([(i, "".join(rng.permutation(words)[:12])) for i in range(300)], "doc_id long, text string")
+    whole = sorted(map(tuple, S.digests(docs).collect()))
+    assert sum(r[2] for r in whole) > 100_000
+    assert sorted(map(tuple, S.digests(docs, S.Settings(part=1 << 10)).collect())) == whole
+
+    s = S.Settings(part=1 << 12)
+    passage = rng.integers(97, 123, 4000, np.uint8).tobytes()
+    bytes_, keys, counts, ids = _contexts([rng.integers(97, 123, 3000, np.uint8).tobytes() + passage for _ in range(20)], s)
+    sizes = counts - 1 + s.length
+    parts = S.parts_of(keys, sizes, s)
+    assert sorted(np.concatenate(parts).tolist()) == list(range(len(keys)))
+    assert max(int(sizes[p].sum()) for p in parts) < sizes.sum() / 8
+    assert sum(len(set(keys[p].tolist())) for p in parts) == len(set(keys.tolist()))  # an anchor is in one part only
+    at = np.cumsum(sizes) - sizes
+    kind, first, number, least = S.least_of_kinds(bytes_, keys, counts, ids, s)
+    plain = [least[first[k] : first[k] + number[k]].tolist() for k in kind]
+    for p in parts:
+        kind, first, number, least = S.least_of_kinds(bytes_, keys[p], counts[p], ids[p], s, at[p])
+        assert [least[first[k] : first[k] + number[k]].tolist() for k in kind] == [plain[i] for i in p.tolist()]
